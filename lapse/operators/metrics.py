@@ -159,13 +159,13 @@ def summary(preds: DataFrame, keys: list[str] = ()) -> DataFrame:
     """Run comparison: per key group and class, F1, precision, recall at 0.5
     and PR AUC, ROC AUC (L14).  One job over all runs."""
     keys = list(keys)
-    both = both_classes(preds)
-    k2 = keys + ["class"]
+    both = both_classes(preds).withColumnRenamed("class", "_view")
+    k2 = keys + ["_view"]
     rep = class_report(both, k2).where(F.col("class") == F.lit(1)).drop("class", "support")
     aucs = auc_summary(both, k2)
-    lab = F.when(F.col("class") == 1, F.lit("Churned")).otherwise(F.lit("Retained"))
+    lab = F.when(F.col("_view") == 1, F.lit("Churned")).otherwise(F.lit("Retained"))
     return rep.join(aucs, k2, "inner").withColumn("label", lab).select(
-        *keys, "label", "class", "f1", "pr_auc", "precision", "recall", "roc_auc")
+        *keys, "label", F.col("_view").alias("class"), "f1", "pr_auc", "precision", "recall", "roc_auc")
 
 
 def series(summary_df: DataFrame, metric: str, x: str, keys: list[str] = ()) -> DataFrame:

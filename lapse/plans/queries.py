@@ -30,7 +30,7 @@ from lapse.operators.steps import add_iat, add_running_sums, rewindow
 from lapse.operators.ranking import with_positions
 from lapse.plans import oracle as O
 from lapse.schema import MODEL_FEATURES, PARSED_COLS, SUM_COLS
-from lapse.session import checkpoint_dir, configure
+from lapse.session import checkpoint_dir, configure, materialize
 from lapse.sources.fixtures import load_fixture
 from lapse.sources.io import export_json, read_examples
 
@@ -67,10 +67,20 @@ class Ctx:
         t = load_fixture(spark, sf_dir, profile)
         self.plays, self.contexts, self.snapshots = t["plays"], t["contexts"], t["snapshots"]
 
+        self._staged: dict = {}
+
+    def _stage(self, key: str, build) -> DataFrame:
+        """Frames reused by several jobs of one query are checkpointed once."""
+        if key not in self._staged:
+            self._staged[key] = materialize(build())
+        return self._staged[key]
+
     def users_sampled(self) -> DataFrame:
         return sample_users(self.plays, self.contexts, self.snapshots, self.s)
 
-    def users(self) -> DataFrame:
+    def users(self, staged: bool = False) -> DataFrame:
+        if staged:
+            return self._stage("users", self.users)
         return add_user_info(self.users_sampled(), self.snapshots, self.s)
 
     def raw(self) -> DataFrame:
@@ -82,11 +92,15 @@ class Ctx:
     def slots(self, fanout: str = "reference") -> DataFrame:
         return slot_features(self.parsed(), self.s.with_(fanout=fanout))
 
+    def staged_slots(self) -> DataFrame:
+        return self._stage("slots", lambda: slot_features(parse_context(
+            filter_raw(self.plays, self.contexts, self.users(staged=True), self.s)), self.s))
+
     def labels(self) -> DataFrame:
-        return L.label_churn(self.users(), self.slots(), self.s)
+        return L.label_churn(self.users(staged=True), self.staged_slots(), self.s)
 
     def training(self) -> DataFrame:
-        return L.training_slots(self.slots(), self.s)
+        return L.training_slots(self.staged_slots(), self.s)
 
     def filled(self) -> DataFrame:
         return L.zero_fill(self.training(), self.labels(), self.s)
@@ -104,7 +118,7 @@ class Ctx:
         a = self.arrays()
         score = F.size(F.filter("filled", lambda b: b)) / F.size("filled")
         p = a.select("user_id", F.col("churn").alias("label"), score.alias("score"))
-        return with_positions(p, [], ["user_id"], name="row_id")
+        return self._stage("preds", lambda: with_positions(p, [], ["user_id"], name="row_id"))
 
 
 def _checksums(arrays: DataFrame) -> DataFrame:

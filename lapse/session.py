@@ -65,3 +65,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def stage_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written stage."""
     return os.path.join(checkpoint_dir(spark), "stages", name)
+
+
+def materialize(df, name: str | None = None):
+    """Cut the lineage of a frame that several jobs reuse: write it as
+    parquet under the shared checkpoint folder and read it back (one job;
+    survives executor loss, unlike a local checkpoint)."""
+    import uuid
+    path = stage_path(df.sparkSession, name or uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
