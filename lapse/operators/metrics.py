@@ -171,3 +171,12 @@ def summary(preds: DataFrame, keys: list[str] = ()) -> DataFrame:
 def series(summary_df: DataFrame, metric: str, x: str, keys: list[str] = ()) -> DataFrame:
     """One metric against a setting (dataset, ratio, components) per key."""
     return summary_df.select(*keys, x, "label", F.col(metric).alias("value")).orderBy(*keys, "label", x)
+
+
+def five_number(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
+    """Exact min, quartiles, median and max of a column per group (box-plot
+    input, e.g. ``mean_test_score`` of the searches; E9)."""
+    c = F.col(col)
+    return df.groupBy(*keys).agg(
+        F.min(c).alias("min"), F.percentile(c, 0.25).alias("q1"), F.percentile(c, 0.5).alias("median"),
+        F.percentile(c, 0.75).alias("q3"), F.max(c).alias("max"))

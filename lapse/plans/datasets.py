@@ -19,7 +19,9 @@ from lapse.operators.parse import parse_context
 from lapse.operators.sample import add_user_info, filter_raw, sample_users
 from lapse.operators.slots import slot_features
 from lapse.operators.steps import rewindow
+from lapse.session import materialize
 from lapse.sources.fixtures import load_fixture
+from lapse.sources.io import export_json
 
 
 @dataclass
@@ -73,12 +75,14 @@ def build_dataset(src: Sources, s: Settings, users: DataFrame | None = None,
     """Build one dataset.  ``users`` reuses a sample taken for a longer
     dataset; ``base`` is that dataset's settings (its pull is re-windowed).
 
-    ``fit=True`` runs the one scaler aggregation (an action); the rest stays
-    lazy.
+    The sampled users and the slot features are written once under the
+    shared checkpoint folder (both feed several jobs: the raw pull, labels,
+    the scaler fit and the arrays).  ``fit=True`` runs the scaler
+    aggregation; the arrays stay lazy.
     """
-    users = users if users is not None else users_of(src, s)
+    users = users if users is not None else materialize(users_of(src, s))
     parsed = parsed_streams(src, users, s, base)
-    slots = slot_table(parsed, s)
+    slots = materialize(slot_table(parsed, s))
     labels = L.label_churn(users, slots, s)
     training = L.training_slots(slots, s)
     scaler = P.fit_scaler(training) if fit else None
@@ -92,9 +96,24 @@ def build_datasets(src: Sources, experiment: str, catalogue: dict | None = None,
     dataset of the longest window, and reused by the others."""
     order = dataset_order(experiment, catalogue)
     base = resolve(experiment, order[0], catalogue=catalogue, **overrides)
-    users = users_of(src, base)
+    users = materialize(users_of(src, base))
     out = {}
     for name in order:
         s = resolve(experiment, name, catalogue=catalogue, **overrides)
         out[name] = build_dataset(src, s, users=users, base=base)
     return out
+
+
+def export_splits(ds: Dataset, path: str) -> dict[str, str]:
+    """JSON-lines export of the train, undersampled train, test and val
+    tables (A6); returns the written paths."""
+    from lapse.operators.prepare import undersample_table
+    sp = ds.splits()
+    tables = {"tr": materialize(sp["train"]), "te": sp["test"], "val": sp["val"]}
+    tables["trus"] = undersample_table(tables["tr"], ds.settings.retainedshare, ds.settings.hash_family)
+    out = {}
+    for name, df in tables.items():
+        p = f"{path.rstrip('/')}/features_{ds.settings.experiment}_{ds.settings.dataset}_{name}"
+        export_json(df, p)
+        out[name] = p
+    return out

@@ -312,6 +312,37 @@ def q_feature_trend(spark, sf):
     return rounded(X.feature_trend(c.filled(), c.labels(), ["secs_played", "total_streams", "iat"]))
 
 
+def q_class_counts(spark, sf):
+    return X.class_counts(Ctx(spark, sf, "sparse").labels())
+
+
+def q_accuracy(spark, sf):
+    return rounded(M.accuracy(_preds(spark, sf)))
+
+
+def q_user_sample(spark, sf):
+    lab = Ctx(spark, sf).labels()
+    return X.user_sample(lab, 0.05).select("user_id", F.col("churn").cast("bigint").alias("churn"))
+
+
+def _rewindowed(spark, sf, profile):
+    c = Ctx(spark, sf, profile)
+    small = settings(SMALL)
+    parsed = rewindow(parse_context(filter_raw(c.plays, c.contexts, c.users(staged=True), c.s)), small)
+    return c, small, slot_features(parsed, small)
+
+
+def q_rewindowed_slot_features(spark, sf):
+    _, _, slots = _rewindowed(spark, sf, "all")
+    return rounded(slots)
+
+
+def q_rewindowed_labels(spark, sf):
+    c, small, slots = _rewindowed(spark, sf, "sparse")
+    lab = L.label_churn(c.users(staged=True), slots, small)
+    return lab.select("user_id", F.col("churn").cast("bigint").alias("churn"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
@@ -544,4 +575,16 @@ def oracle_sql() -> dict[str, str]:
         "SELECT CAST(l.churn AS BIGINT) AS churn, CAST(f.time AS BIGINT) AS time, "
         + ", ".join(O.rnd(f"AVG(f.{c})") + f" AS {c}" for c in trend)
         + " FROM filled f JOIN labels l ON f.user_id = l.user_id GROUP BY l.churn, f.time")
+    sq["class_counts"] = O.with_sql(_ctes("sparse", "labels"),
+                                    "SELECT CAST(churn AS BIGINT) AS churn, COUNT(*) AS users FROM labels GROUP BY churn")
+    sq["accuracy"] = O.with_sql(_preds_ctes(),
+                                f"SELECT {O.rnd('AVG(CASE WHEN (CASE WHEN score > 0.5 THEN 1 ELSE 0 END) = label THEN 1.0 ELSE 0.0 END)')} "
+                                "AS accuracy, COUNT(*) AS n FROM preds")
+    sq["user_sample"] = O.with_sql(_ctes("all", "labels"),
+                                   f"SELECT user_id, CAST(churn AS BIGINT) AS churn FROM labels "
+                                   f"WHERE {O.sql_hash_value('user_id', 'sample')} % 20 = 0")
+    sq["rewindowed_slot_features"] = O.with_sql(_ctes("all", "slots", s=s_small, pull=s),
+                                                f"SELECT {slot_cols} FROM slotf")
+    sq["rewindowed_labels"] = O.with_sql(_ctes("sparse", "labels", s=s_small, pull=s),
+                                         "SELECT user_id, CAST(churn AS BIGINT) AS churn FROM labels")
     return sq

@@ -56,3 +56,9 @@ def test_head_k(preds):
 def test_summary(preds):
     s = {r["label"]: r for r in M.summary(preds.withColumn("model", preds.user_id.substr(0, 0)), ["model"]).collect()}
     assert set(s) == {"Churned", "Retained"}
+
+
+def test_five_number(spark):
+    df = spark.createDataFrame([(float(x),) for x in [1, 2, 3, 4, 5]], "v double")
+    r = M.five_number(df, "v").first()
+    assert (r["min"], r["q1"], r["median"], r["q3"], r["max"]) == (1.0, 2.0, 3.0, 4.0, 5.0)
