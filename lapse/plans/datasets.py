@@ -71,9 +71,13 @@ class Dataset:
 
 
 def build_dataset(src: Sources, s: Settings, users: DataFrame | None = None,
-                  base: Settings | None = None, fit: bool = True) -> Dataset:
+                  base: Settings | None = None, fit: bool = True,
+                  pulled: DataFrame | None = None) -> Dataset:
     """Build one dataset.  ``users`` reuses a sample taken for a longer
-    dataset; ``base`` is that dataset's settings (its pull is re-windowed).
+    dataset; ``base`` is that dataset's settings and ``pulled`` its parsed
+    pull (re-windowed here).  The parsed pull is written once (the
+    original's ``_p`` table): the slot aggregation and the combination
+    count both read it, and every smaller dataset is cut from it.
 
     The sampled users and the slot features are written once under the
     shared checkpoint folder (both feed several jobs: the raw pull, labels,
@@ -81,7 +85,9 @@ def build_dataset(src: Sources, s: Settings, users: DataFrame | None = None,
     aggregation; the arrays stay lazy.
     """
     users = users if users is not None else materialize(users_of(src, s))
-    parsed = parsed_streams(src, users, s, base)
+    if pulled is None:
+        pulled = materialize(parsed_streams(src, users, base or s))
+    parsed = rewindow(pulled, s) if base is not None and base.dataset != s.dataset else pulled
     slots = materialize(slot_table(parsed, s))
     labels = L.label_churn(users, slots, s)
     training = L.training_slots(slots, s)
@@ -97,10 +103,11 @@ def build_datasets(src: Sources, experiment: str, catalogue: dict | None = None,
     order = dataset_order(experiment, catalogue)
     base = resolve(experiment, order[0], catalogue=catalogue, **overrides)
     users = materialize(users_of(src, base))
+    pulled = materialize(parsed_streams(src, users, base))
     out = {}
     for name in order:
         s = resolve(experiment, name, catalogue=catalogue, **overrides)
-        out[name] = build_dataset(src, s, users=users, base=base)
+        out[name] = build_dataset(src, s, users=users, base=base, pulled=pulled)
     return out
 
 

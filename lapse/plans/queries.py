@@ -84,7 +84,7 @@ class Ctx:
         return add_user_info(self.users_sampled(), self.snapshots, self.s)
 
     def raw(self) -> DataFrame:
-        return filter_raw(self.plays, self.contexts, self.users(), self.s)
+        return filter_raw(self.plays, self.contexts, self.users(staged=True), self.s)
 
     def parsed(self) -> DataFrame:
         return parse_context(self.raw())
@@ -92,9 +92,11 @@ class Ctx:
     def slots(self, fanout: str = "reference") -> DataFrame:
         return slot_features(self.parsed(), self.s.with_(fanout=fanout))
 
+    def staged_parsed(self) -> DataFrame:
+        return self._stage("parsed", self.parsed)
+
     def staged_slots(self) -> DataFrame:
-        return self._stage("slots", lambda: slot_features(parse_context(
-            filter_raw(self.plays, self.contexts, self.users(staged=True), self.s)), self.s))
+        return self._stage("slots", lambda: slot_features(self.staged_parsed(), self.s))
 
     def labels(self) -> DataFrame:
         return L.label_churn(self.users(staged=True), self.staged_slots(), self.s)
@@ -328,7 +330,7 @@ def q_user_sample(spark, sf):
 def _rewindowed(spark, sf, profile):
     c = Ctx(spark, sf, profile)
     small = settings(SMALL)
-    parsed = rewindow(parse_context(filter_raw(c.plays, c.contexts, c.users(staged=True), c.s)), small)
+    parsed = rewindow(c.staged_parsed(), small)
     return c, small, slot_features(parsed, small)
 
 
