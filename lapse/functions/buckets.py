@@ -28,7 +28,7 @@ def hash_value(col, purpose: str = "sample", family: str = "sha", seed: int | No
     if seed is not None:
         c = F.concat(c, F.lit(f"#{seed}"))
     if family == "xxhash":
-        return F.abs(F.xxhash64(c, F.lit(purpose))) % F.lit(1 << 60)
+        return F.pmod(F.xxhash64(c, F.lit(purpose)), F.lit(1 << 60))
     digest = _DIGESTS[purpose](c)
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 

@@ -75,3 +75,29 @@ def materialize(df, name: str | None = None):
     path = stage_path(df.sparkSession, name or uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def cluster_conf(total_cores: int, shuffle_bytes: float) -> dict:
+    """Suggested settings for a large cluster (set them at submit time).
+
+    ``shuffle_bytes`` is the expected size of the largest shuffle (for the
+    slot features: the projected play rows of the whole pull).  Initial
+    shuffle partitions are sized to ~256 MB each and at least 3 per core;
+    AQE then coalesces small ones and splits skewed join partitions.
+    """
+    target = 256 * 1024 * 1024
+    parts = max(3 * total_cores, int(shuffle_bytes // target) + 1)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        # broadcast only what AQE has measured at run time to be small
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -53,6 +53,9 @@ def test_train_and_evaluate(spark, datasets):
     assert {(r["model"], r["label"]) for r in summ} == {(m, l) for m in ("rf", "lr") for l in ("Churned", "Retained")}
     assert all(r["run_label"] for r in summ)
     assert tables["roc"].count() > 0 and tables["confusion"].count() == 8
+    from lapse.operators.metrics import series
+    ser = series(tables["summary"], "f1", "dataset", ["model"]).collect()
+    assert len(ser) == 4
 
 
 def test_svd_run(spark, datasets):
