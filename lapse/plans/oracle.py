@@ -209,25 +209,27 @@ def zero_fill_ctes(s: Settings) -> list[str]:
              "CAST(NULL AS DOUBLE) AS latitude", "CAST(NULL AS DOUBLE) AS longitude"]
     cols = ["user_id", "time"] + [c for m in MEAN_STD_COLS for c in (m, f"{m}_std")] + \
         ["unique_top_types", "skip_ratio"] + SUM_COLS + COUNT_COLS + ANY_COLS + ["backfill"]
+    grid = "[" + ", ".join(str(t) for t in s.windows.training_slots()) + "]"
     return [
-        slots_list_cte(s, "train_list", training=True),
+        f"grid AS (SELECT user_id, unnest({grid}) AS slot_start FROM labels)",
         "filled AS (SELECT " + ", ".join(cols) + " FROM training UNION ALL "
-        "SELECT u.user_id, tl.slot_start AS time, " + ", ".join(zero) + ", true AS backfill "
-        "FROM labels u CROSS JOIN train_list tl "
-        "WHERE NOT EXISTS (SELECT 1 FROM training f WHERE f.user_id = u.user_id AND f.time = tl.slot_start))",
+        "SELECT g.user_id, g.slot_start AS time, " + ", ".join(zero) + ", true AS backfill "
+        "FROM grid g "
+        "WHERE NOT EXISTS (SELECT 1 FROM training f WHERE f.user_id = g.user_id AND f.time = g.slot_start))",
     ]
 
 
 def normalized_cte(zero_std: str = "zero") -> list[str]:
-    stats = ", ".join(f"AVG({f}) AS {f}_avg, STDDEV_POP({f}) AS {f}_sd" for f in MODEL_FEATURES)
+    stats = ", ".join(f"AVG({f}) FILTER (WHERE NOT backfill) OVER () AS {f}_avg, "
+                      f"STDDEV_POP({f}) FILTER (WHERE NOT backfill) OVER () AS {f}_sd" for f in MODEL_FEATURES)
     z = []
     for f in MODEL_FEATURES:
         zexpr = (f"CASE WHEN {f}_sd IS NULL OR {f}_sd = 0 THEN 0.0 "
                  f"ELSE ({f} - {f}_avg) / {f}_sd END")
         z.append(f"CASE WHEN backfill THEN CAST({f} AS DOUBLE) ELSE {zexpr} END AS {f}")
     return [
-        f"stats AS (SELECT {stats} FROM filled WHERE backfill = false)",
-        "normed AS (SELECT user_id, time, backfill, " + ", ".join(z) + " FROM filled, stats)",
+        f"with_stats AS (SELECT *, {stats} FROM filled)",
+        "normed AS (SELECT user_id, time, backfill, " + ", ".join(z) + " FROM with_stats)",
     ]
 
 

@@ -410,13 +410,13 @@ def _preds_ctes() -> list[str]:
 
 def _sql_confusion() -> str:
     return O.with_sql(_preds_ctes(), """
-        SELECT a.label, b.predicted, CAST(COUNT(p.user_id) AS BIGINT) AS n,
+        SELECT a.label, a.predicted, CAST(COUNT(p.user_id) AS BIGINT) AS n,
                {share} AS share
-        FROM (VALUES (0), (1)) a(label) CROSS JOIN (VALUES (0), (1)) b(predicted)
+        FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) a(label, predicted)
         LEFT JOIN (SELECT user_id, label, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS predicted FROM preds) p
-          ON p.label = a.label AND p.predicted = b.predicted
+          ON p.label = a.label AND p.predicted = a.predicted
         LEFT JOIN (SELECT label, COUNT(*) AS tot FROM preds GROUP BY label) t ON t.label = a.label
-        GROUP BY a.label, b.predicted, t.tot""".replace(
+        GROUP BY a.label, a.predicted, t.tot""".replace(
         "{share}", O.rnd("CASE WHEN t.tot > 0 THEN CAST(COUNT(p.user_id) AS DOUBLE) / t.tot END")))
 
 
@@ -478,14 +478,13 @@ def _sql_undersample_fold() -> str:
     h = O.sql_hash_value("user_id", "undersample", seed=SEED)
     parts = []
     for k in (0, 1):
+        cnt = f"(SELECT label, COUNT(*) AS cnt FROM folds WHERE fold != {k} GROUP BY label)"
         parts.append(f"""
         SELECT {k} AS outer_fold, user_id, label FROM (
-          SELECT t.*, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {h}, user_id) - 1 AS pos,
-                 c.n_min, c.min_label
-          FROM folds t, (SELECT MIN(cnt) AS n_min, arg_min(label, cnt) AS min_label FROM
-                          (SELECT label, COUNT(*) AS cnt FROM folds WHERE fold != {k} GROUP BY label)) c
-          WHERE t.fold != {k}) x
-        WHERE label = min_label OR pos < CAST(floor(n_min / 1.0) AS BIGINT)""")
+          SELECT t.*, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {h}, user_id) - 1 AS pos
+          FROM folds t WHERE t.fold != {k}) x
+        WHERE label = (SELECT arg_min(label, cnt) FROM {cnt})
+           OR pos < CAST(floor((SELECT MIN(cnt) FROM {cnt}) / 1.0) AS BIGINT)""")
     return O.with_sql(_fold_ctes(), " UNION ALL ".join(parts))
 
 
