@@ -90,7 +90,7 @@ class Ctx:
         return parse_context(self.raw())
 
     def slots(self, fanout: str = "reference") -> DataFrame:
-        return slot_features(self.parsed(), self.s.with_(fanout=fanout))
+        return slot_features(self.staged_parsed(), self.s.with_(fanout=fanout))
 
     def staged_parsed(self) -> DataFrame:
         return self._stage("parsed", self.parsed)
@@ -169,12 +169,12 @@ def q_rewindowed_streams(spark, sf):
 
 def q_inter_arrival(spark, sf):
     c = Ctx(spark, sf)
-    return add_iat(c.parsed(), c.s).select("user_id", "timestampp", "secs_played", "play_context_decrypted", "iat")
+    return add_iat(c.staged_parsed(), c.s).select("user_id", "timestampp", "secs_played", "play_context_decrypted", "iat")
 
 
 def q_running_sums(spark, sf):
     c = Ctx(spark, sf)
-    return add_running_sums(c.parsed(), c.s).select("user_id", "timestampp", "secs_played",
+    return add_running_sums(c.staged_parsed(), c.s).select("user_id", "timestampp", "secs_played",
                                                     "play_context_decrypted", *SUM_COLS)
 
 
@@ -188,7 +188,7 @@ def q_slot_features_nofanout(spark, sf):
 
 def q_top_combination(spark, sf):
     c = Ctx(spark, sf)
-    return rounded(top_combination(c.parsed(), c.s))
+    return rounded(top_combination(c.staged_parsed(), c.s))
 
 
 def q_churn_labels(spark, sf):
