@@ -163,8 +163,7 @@ def slot_features_ctes(s: Settings, fanout: bool = True) -> list[str]:
     ctes.append(
         "topf AS (SELECT user_id, slot, top_type, platform, client_type, "
         "CASE WHEN latitude != 999.9 THEN latitude ELSE NULL END AS latitude, "
-        "CASE WHEN longitude != 999.9 THEN longitude ELSE NULL END AS longitude, "
-        "RANK() OVER (PARTITION BY user_id, slot ORDER BY COUNT(*) DESC) AS rank "
+        "CASE WHEN longitude != 999.9 THEN longitude ELSE NULL END AS longitude "
         "FROM rowslot GROUP BY user_id, slot, top_type, platform, client_type, latitude, longitude)")
     if fanout:
         src = "rowslot r JOIN topf t ON r.user_id = t.user_id AND r.slot = t.slot"
@@ -178,7 +177,7 @@ def slot_features_ctes(s: Settings, fanout: bool = True) -> list[str]:
         sel.append(f"AVG({v}) AS {m}")
         sel.append(f"COALESCE(STDDEV_SAMP({v}), 0) AS {m}_std")
     sel.append("COUNT(DISTINCT r.top_type) AS unique_top_types")
-    sel.append("SUM(CAST(r.skipped AS INTEGER)) / COUNT(r.skipped) AS skip_ratio")
+    sel.append("AVG(CASE WHEN r.skipped THEN 1.0 ELSE 0.0 END) AS skip_ratio")
     sel += [f"MAX(r.{c}) AS {c}" for c in SUM_COLS]
     sel.append("COUNT(*) AS total_streams")
     for t in TOP_TYPES:
