@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lapse.llm.common import table
+from lapse.llm.fingerprints import fingerprints
+from lapse.llm.licenses import scan
 from lapse.llm.near_dedup import near_duplicates
 from lapse.llm.packing import VOCABULARY, pack
 from lapse.llm.quality import quality_scores
@@ -24,9 +26,17 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op3_quality, op4_sharding, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op3_quality, op4_sharding, op5_fingerprints, op8_licenses, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
