@@ -6,12 +6,6 @@ for every power of two in the rest.  Pieces of equal length are one bucket,
 and every piece is a sequence of its own: no sequence crosses documents and
 none is padded, for a sequence's length is always a power of two.
 
-The byte-level tokenizer splits a text by a fixed pattern and merges inside
-the splits only, so the ids of a split do not depend on its surroundings.
-Each worker splits texts itself, has every new split encoded by the library
-once, and joins remembered ids.  Texts with characters beyond U+024F or with
-the text of a special token go through the library whole.
-
 Results for odd input: a null or empty text is one piece of one token (the
 closing 0); repeated rows are packed as documents of their own; an empty
 table gives an empty result; columns other than doc_id and text are ignored.
@@ -27,48 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapse.llm import words as W
+from lapse.llm.byte_level import encoder
 from lapse.llm.common import number_rows, stage, texts
 
 LENGTH = 1024
 VOCABULARY = "byte_bpe_50k.json"
-#: Splits a worker remembers before it starts anew (memory bound only).
-REMEMBERED = 400_000
-# Fixed: the pattern by which this public vocabulary splits text.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-
-class Encoder:
-    """Ids of whole texts as little-endian 32-bit bytes."""
-
-    def __init__(self, path: str):
-        import re
-
-        import regex
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.split = regex.compile(PATTERN).findall
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile("[^\x00-ɏ]|" + "|".join(map(re.escape, special))).search
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, batch: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(batch, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
-
-    def encode(self, text: str) -> bytes:
-        if self.odd(text):
-            return self.whole([text])[0]
-        parts = self.split(text)
-        known = self.known
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-            new = list({p for p in parts if p not in known})
-            known.update(zip(new, self.whole(new)))
-            return b"".join([known[p] for p in parts])
 
 
 def pieces(n: int, length: int) -> list[tuple[int, int]]:
@@ -85,21 +43,23 @@ def pieces(n: int, length: int) -> list[tuple[int, int]]:
 
 def _pieces_of(path: str, length: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
         types = [pa.int64()] * 5 + [pa.list_(pa.int32())] * with_ids
+        tokens = encoder(path)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            rows = [[] for _ in names]
-            for i, doc in enumerate(ids):
-                code = encoder.encode(batch.column(1)[i].as_py() or "") + b"\0\0\0\0"
-                n = len(code) // 4
-                for start, size in pieces(n, length):
-                    own = code[4 * start:4 * (start + size)]
-                    values = (doc, start, size, zlib.crc32(own), n) + ((np.frombuffer(own, "<i4"),) if with_ids else ())
-                    for r, v in zip(rows, values):
-                        r.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, types)], names=names)
+            docs = batch.column(0).to_pylist()
+            data, off = W.raw(batch.column(1))
+            for a, b in W.blocks(off):
+                rows = [[] for _ in names]
+                for doc, ids in zip(docs[a:b], tokens.encode(data[off[a]:off[b]], off[a:b + 1] - off[a])):
+                    code = ids.astype("<u4").tobytes() + b"\0\0\0\0"
+                    n = len(code) // 4
+                    for start, size in pieces(n, length):
+                        own = code[4 * start:4 * (start + size)]
+                        values = (doc, start, size, zlib.crc32(own), n)
+                        for r, v in zip(rows, values + ((np.frombuffer(own, "<i4"),) if with_ids else ())):
+                            r.append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, types)], names=names)
 
     return run
 

@@ -7,7 +7,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from lapse.llm.packing import VOCABULARY, Encoder, pack, pieces
+from lapse.llm.byte_level import Encoder
+from lapse.llm.packing import VOCABULARY, pack, pieces
 
 PATH = public_tokenizers.path(VOCABULARY)
 
@@ -46,9 +47,13 @@ def test_encoder_equals_the_library(tokenizer):
     texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 40))) for _ in range(3000)]
     texts += ["a<|endoftext|>b", "I'm we've  they'll\n\n  x'S 's", "x" * 5000, " " * 999, "1" * 400 + " ½²"]
     texts += ["".join(chr(r.randrange(0x250)) for _ in range(30)) for _ in range(2000)]
-    for t in texts:
-        got = np.frombuffer(encoder.encode(t), "<u4").tolist()
-        assert got == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+    texts += ["it's", "'s", "x 's", "\n's", "we'", "we'l", "!'s", "''s", "a'rex", "a've've", "\xa0's \x85"]
+    raw = [t.encode() for t in texts]
+    off = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+    for again in range(2):
+        got = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), off)
+        for t, ids in zip(texts, got):
+            assert ids.tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 def test_pieces():
