@@ -6,23 +6,25 @@ that connect them.  Round one compares every member of a bucket with the
 bucket's smallest node only, so its work is linear in the number of keys.
 Buckets whose members then still lie in different components go to round
 two: their members are dealt into blocks, every pair of blocks is a work unit
-of bounded size, and only pairs of different components that the signatures
-do not rule out are verified.  Nothing is capped: links found in round one
-only save comparisons inside a component.
+of bounded size, and a unit compares its members of different components by
+their full sets.  It gives only links that join components, at most one for
+each member.  Nothing is capped: links known before only save comparisons
+inside a component.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.llm.common import stage
 
-BLOCK = 256
+#: Shingles of a block of a bucket's members.
+BLOCK = 200_000
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -51,75 +53,87 @@ def components(links: DataFrame) -> DataFrame:
                  .unionByName(root.select(F.col("root").alias("node"), "root").distinct()), "roots")
 
 
-def verify(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], share: tuple[int, int]) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets have
-    ``share[1] * intersection >= share[0] * union``.
-
-    ``sets_of(nodes)`` gives ``(node, items array<long>)`` for the asked nodes.
-    """
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = stage(sets_of(nodes), "sets")
+def verified(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """The pairs ``(a, b)`` whose full sets, in ``sets(node, items)``, have
+    ``share[1] * intersection >= share[0] * union``."""
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("xa"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("xb"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     common = F.size(F.array_intersect("xa", "xb"))
     both = both.select("a", "b", common.alias("i"), (F.size("xa") + F.size("xb")).alias("s"))
     return both.where(F.lit(share[1]) * F.col("i") >= F.lit(share[0]) * (F.col("s") - F.col("i"))).select("a", "b")
 
 
-def _blocks(least: float, agree: int):
-    """Pairs of a work unit that may be links: other component, sizes that
-    allow the similarity, and at least ``agree`` equal signature entries."""
-
-    def pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("node")
-        sig = np.stack(rows["sig"].to_numpy())
-        node, root, n, block = (rows[c].to_numpy() for c in ("node", "root", "n", "block"))
-        one, two = key[1], key[2]
-        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+def _unit(share: tuple[int, int]):
+    """Links of one work unit, the members of two blocks of a bucket: every
+    pair of different components is compared by its full sets; a link is given
+    only if it joins components that no earlier link of the unit has joined."""
+
+    def links(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("node").combine_chunks()
+        one, two = key[1].as_py(), key[2].as_py()
+        node, root, block = (rows.column(c).to_numpy() for c in ("node", "root", "block"))
+        lists = rows.column("items").chunk(0) if rows.num_rows else pa.array([], pa.list_(pa.int64()))
+        at = lists.offsets.to_numpy().astype(np.int64)
+        items = lists.values.to_numpy()[at[0]:at[-1]]
+        at = at - at[0]
+        distinct, items = np.unique(items, return_inverse=True)
+        size = np.diff(at)
+        mark = np.zeros(len(distinct), np.int64)
+        root = root.copy()
         out = []
-        for i in left:
-            j = right if one != two else right[right > i]
-            j = j[(root[j] != root[i]) & (np.minimum(n[j], n[i]) >= least * np.maximum(n[j], n[i]))]
-            j = j[(sig[j] == sig[i]).sum(1) >= agree]
-            out.append(np.stack([np.full(len(j), node[i]), node[j]], 1))
-        out = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": out.min(1, initial=2**63 - 1), "b": out.max(1, initial=-2**63)})
-
-    return pairs
+        for i in np.flatnonzero(block == one):
+            other = (block == two) & (root != root[i])
+            if not other.any():
+                continue
+            own = items[at[i]:at[i + 1]]
+            mark[own] = 1
+            common = np.add.reduceat(mark[items], at[:-1])
+            mark[own] = 0
+            near = other & (share[1] * common >= share[0] * (size + size[i] - common))
+            for j in np.flatnonzero(near):
+                if root[j] != root[i]:
+                    out.append((node[i], node[j]))
+                    root[root == root[j]] = root[i]
+        a, b = zip(*out) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return links
 
 
 def link(nodes: DataFrame, keys: Callable[[DataFrame], DataFrame], sets_of: Callable[[DataFrame], DataFrame],
-         share: tuple[int, int], agree: int) -> DataFrame:
-    """Verified links ``(a, b)`` between ``nodes(node, n, sig)``.
+         share: tuple[int, int]) -> DataFrame:
+    """Verified links ``(a, b)`` that connect all ``nodes(node, n, ...)`` of a
+    component of similar nodes which meet in some bucket.
 
-    ``keys(nodes)`` gives ``(node, key)``, one row for each table.  ``agree``
-    is the least number of equal signature entries of a pair worth a check.
+    ``keys(nodes)`` gives ``(node, key)``, one row for each table;
+    ``sets_of(nodes)`` gives ``(node, items array<long>)``.  Large inputs are
+    joined by sorting at every size, so that the plan does not change with it.
     """
     k = keys(nodes)
     hubs = (k.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
             .select(F.col("key").alias("k2"), "hub"))
-    shared = stage(k.join(hubs, k["key"] == hubs["k2"]).select("key", "node", "hub"), "buckets")
+    shared = stage(k.join(hubs.hint("merge"), k["key"] == hubs["k2"]).select("key", "node", "hub"), "buckets")
     star = stage(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(),
                  "pairs")
-    links = stage(verify(star, sets_of, share), "links")
+    some = star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node"))).distinct()
+    sets = stage(sets_of(some), "sets")
+    links = stage(verified(star, sets, share), "links")
     roots = components(links)
     own = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    left = own.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"),
-                                  F.count(F.lit(1)).alias("members"), F.sum(F.xxhash64("node") % (1 << 40)).alias("who"))
+    own = stage(own.join(nodes.select("node", "n"), "node").select("key", "node", "root", "n"), "members")
+    left = own.groupBy("key").agg(
+        F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("members"),
+        F.sum("n").alias("weight"), F.sum(F.xxhash64("node") % (1 << 40)).alias("who"))
     left = left.where("r1 < r2 and members > 2")
     # buckets of the same members need one look only
-    left = left.groupBy("members", "who").agg(F.min("key").alias("key")).select(F.col("key").alias("k2"), "members")
-    rest = stage(own.join(left, own["key"] == left["k2"]).select("key", "node", "root", "members"), "rest")
-    rest = rest.join(nodes, "node")
-    rest = rest.withColumn("parts", F.ceil(F.col("members") / BLOCK).cast("int"))
+    left = left.groupBy("members", "weight", "who").agg(F.min("key").alias("key"))
+    left = left.select(F.col("key").alias("k2"), F.ceil(F.col("weight") / BLOCK).cast("int").alias("parts"))
+    rest = own.join(left, own["key"] == left["k2"]).select("key", "node", "root", "parts")
+    rest = rest.join(sets.hint("merge"), "node")
     rest = rest.withColumn("block", F.pmod(F.xxhash64("node", "key"), "parts").cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rest = rest.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-                       "node", "root", "n", "sig", "block")
-    more = rest.groupBy("key", "one", "two").applyInPandas(_blocks(share[0] / share[1], agree), "a long, b long")
-    tried = star.select(F.col("a"), F.col("b"))
-    more = stage(more.distinct().join(tried, ["a", "b"], "left_anti"), "more")
-    if more.isEmpty():
-        return links
-    return links.unionByName(verify(more, sets_of, share))
+                       "node", "root", "items", "block")
+    more = rest.groupBy("key", "one", "two").applyInArrow(_unit(share), "a long, b long")
+    return links.unionByName(stage(more.distinct(), "more"))

@@ -31,9 +31,6 @@ SHINGLE = 5
 HALVES = 8
 ROWS = 2
 SHARE = (85, 100)
-#: Least number of equal halves (of 16) of a pair worth an exact check; a pair
-#: at the threshold has fewer with probability 4e-6.
-AGREE = 4
 
 
 def _sketches(shingle: int, halves: int, rows: int):
@@ -83,7 +80,7 @@ def shingle_sets(shingle: int):
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, share: tuple[int, int] = SHARE, halves: int = HALVES,
-                    rows: int = ROWS, agree: int = AGREE) -> DataFrame:
+                    rows: int = ROWS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
     Documents whose shingle sets have ``share[1] * intersection >= share[0] *
@@ -108,10 +105,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, share: tuple[int, i
         return t.select("node", F.xxhash64("t", left, right).alias("key"))
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        wanted = own.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+        wanted = own.join(nodes.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left_semi")
         return wanted.mapInArrow(shingle_sets(shingle), "node long, items array<long>")
 
-    links = link(reps, keys, sets_of, share, agree)
+    links = link(reps, keys, sets_of, share)
     roots = components(links).select(F.col("node").alias("rep"), "root")
     named = same.join(roots, "rep", "left").select("f1", "f2", F.coalesce("root", "rep").alias("root"))
     base = d.select("doc_id", "n", "f1", "f2")
