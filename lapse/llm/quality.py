@@ -172,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, sample
     """(weights by slot with the bias last, slope, shift) from the training rows."""
     lab = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
            .where("label in (0, 1)").where(~held_out()).dropDuplicates(["doc_id"]))
-    train = texts(docs).where(~held_out()).join(lab, "doc_id").select("doc_id", "text", "label")
+    train = texts(docs).where(~held_out()).join(lab.hint("merge"), "doc_id").select("doc_id", "text", "label")
     # one shuffle of the labelled texts; features are made twice from the stage
     train = stage(train, "labelled")
     counted = train.select("text", "label").mapInArrow(_counts(dimensions), "slot int, n0 long, n1 long")
