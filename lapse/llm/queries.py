@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lapse.llm.common import table
+from lapse.llm.decontamination import contaminated
 from lapse.llm.fingerprints import fingerprints
+from lapse.llm.language_model import scores
 from lapse.llm.licenses import scan
 from lapse.llm.near_dedup import near_duplicates
 from lapse.llm.packing import VOCABULARY, pack
@@ -30,13 +32,22 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op3_quality, op4_sharding, op5_fingerprints, op8_licenses, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op3_quality, op4_sharding, op5_fingerprints, op7_decontamination, op8_licenses, op9_lm_scores,
+                                    op10_packing)}
 ORACLE_SQL: dict[str, str] = {}

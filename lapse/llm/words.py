@@ -72,10 +72,10 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
 class Words:
     """Words of consecutive rows: byte spans, hashes, and each row's range."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE):
         self.data, self.offsets = data, offsets
         n = len(data)
-        inside = ~_SPACE[data]
+        inside = ~between[data]
         first = np.zeros(n + 1, bool)
         first[offsets] = True
         start, end = inside.copy(), inside.copy()
