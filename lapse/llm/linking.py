@@ -121,7 +121,8 @@ def link(nodes: DataFrame, keys: Callable[[DataFrame], DataFrame], sets_of: Call
     links = stage(verified(star, sets, share), "links")
     roots = components(links)
     own = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    own = stage(own.join(nodes.select("node", "n"), "node").select("key", "node", "root", "n"), "members")
+    own = stage(own.join(nodes.groupBy("node").agg(F.max("n").alias("n")), "node")
+                .select("key", "node", "root", "n").distinct(), "members")
     left = own.groupBy("key").agg(
         F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("members"),
         F.sum("n").alias("weight"), F.sum(F.xxhash64("node") % (1 << 40)).alias("who"))

@@ -116,3 +116,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, share: tuple[int, i
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("doc_id")))
     out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, without near-duplicates: of every
+    group the document with the smallest doc_id, of repeated rows one."""
+    found = stage(near_duplicates(docs), "groups")
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    out = docs.join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    n = found.where("doc_id is not null").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("k")).first()
+    if n["n"] == n["k"]:
+        return out
+    numbered = out.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return numbered.unionByName(out.where("doc_id is null"))

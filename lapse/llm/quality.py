@@ -203,25 +203,42 @@ def fit(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, sample
     return np.append(ratio * w[:-1], w[-1]).astype(np.float32), ratio.astype(np.float32), a, b
 
 
+def _score(column: pa.Array, model, dimensions: int) -> np.ndarray:
+    out = [np.zeros(0)]
+    for a, b, slot, at in _batches(column, dimensions):
+        if len(model) == 3:
+            z = np.full(b - a, model[2])
+        else:
+            weight, ratio, slope, shift = model
+            sums = np.concatenate([[0.0], np.cumsum(weight[slot].astype(float))])
+            norms = np.concatenate([[0.0], np.cumsum(ratio[slot].astype(float) ** 2)])
+            norm = np.sqrt(norms[at[1:]] - norms[at[:-1]])
+            z = slope * ((sums[at[1:]] - sums[at[:-1]]) / np.where(norm > 0, norm, 1) + weight[-1]) + shift
+        out.append(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+    return np.concatenate(out)
+
+
 def _scores(model, dimensions: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, slot, at in _batches(batch.column(1), dimensions):
-                if len(model) == 3:
-                    z = np.full(b - a, model[2])
-                else:
-                    weight, ratio, slope, shift = model
-                    sums = np.concatenate([[0.0], np.cumsum(weight[slot].astype(float))])
-                    norms = np.concatenate([[0.0], np.cumsum(ratio[slot].astype(float) ** 2)])
-                    norm = np.sqrt(norms[at[1:]] - norms[at[:-1]])
-                    z = slope * ((sums[at[1:]] - sums[at[:-1]]) / np.where(norm > 0, norm, 1) + weight[-1]) + shift
-                p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(p)],
-                                                 names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_score(batch.column(1), model, dimensions))],
+                                             names=["doc_id", "score"])
 
     return score
 
 
+def accepted(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs``, all columns, whose predicted label is 1."""
+    model = fit(docs, labels, dimensions, sample)
+    text = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_score(batch.column(text), model, dimensions) >= 0.5))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
     model = fit(docs, labels, dimensions, sample)

@@ -12,14 +12,20 @@ from lapse.llm.language_model import scores
 from lapse.llm.licenses import scan
 from lapse.llm.near_dedup import near_duplicates
 from lapse.llm.packing import VOCABULARY, pack
+from lapse.llm.paragraph_dedup import repeated_passages
 from lapse.llm.quality import quality_scores
 from lapse.llm.sharding import shard
+from lapse.llm.suffix_dedup import repeated_strings
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,6 +38,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_strings(table(spark, sf_dir, "documents")).drop("starts", "stops")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -48,6 +58,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op3_quality, op4_sharding, op5_fingerprints, op7_decontamination, op8_licenses, op9_lm_scores,
-                                    op10_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_near_dedup, op2_passages, op3_quality, op4_sharding, op5_fingerprints, op6_repeated_strings,
+    op7_decontamination, op8_licenses, op9_lm_scores, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
