@@ -37,15 +37,11 @@ def curve_counts(preds: DataFrame, keys: list[str] = ()) -> DataFrame:
     score, cumulative ``tp``, ``fp`` at threshold = score, and totals ``P``,
     ``N`` of the group (F4)."""
     keys = list(keys)
-    if not keys:
-        return curve_counts(preds.withColumn("_g", F.lit(0)), ["_g"]).drop("_g")
     per_score = preds.groupBy(*keys, "score").agg(
         F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).cast("bigint").alias("pos"),
         F.sum(F.when(F.col("label") == 1, 0).otherwise(1)).cast("bigint").alias("neg"))
-    cum = running_totals(per_score, keys, [F.col("score").desc()], ["pos", "neg"])
-    cum = cum.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
-    totals = per_score.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return cum.join(totals, keys, "inner")
+    cum = running_totals(per_score, keys, [F.col("score").desc()], ["pos", "neg"], totals="_all_")
+    return cum.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp", "_all_pos": "P", "_all_neg": "N"})
 
 
 def roc_points(preds: DataFrame, keys: list[str] = ()) -> DataFrame:
@@ -113,14 +109,18 @@ def class_report(preds: DataFrame, keys: list[str] = (), threshold: float = 0.5)
     """Precision, recall, F1 and support per class at the threshold."""
     keys = list(keys)
     p = preds.withColumn("predicted", predicted(preds, threshold))
-    rows = []
-    for cls in (0, 1):
-        tp = F.sum(F.when((F.col("label") == cls) & (F.col("predicted") == cls), 1).otherwise(0))
-        pp = F.sum(F.when(F.col("predicted") == cls, 1).otherwise(0))
-        sup = F.sum(F.when(F.col("label") == cls, 1).otherwise(0))
-        rows.append(p.groupBy(*keys).agg(tp.alias("tp"), pp.alias("pp"), sup.alias("support"))
-                    .withColumn("class", F.lit(cls)))
-    r = rows[0].unionByName(rows[1])
+
+    def count(cond):
+        return F.sum(F.when(cond, 1).otherwise(0))
+
+    # both classes from one pass over the predictions
+    per_class = F.explode(F.array(*[F.struct(
+        F.lit(cls).alias("class"), F.col(f"tp{cls}").alias("tp"), F.col(f"pp{cls}").alias("pp"),
+        F.col(f"support{cls}").alias("support")) for cls in (0, 1)]))
+    r = p.groupBy(*keys).agg(*[c for cls in (0, 1) for c in (
+        count((F.col("label") == cls) & (F.col("predicted") == cls)).alias(f"tp{cls}"),
+        count(F.col("predicted") == cls).alias(f"pp{cls}"), count(F.col("label") == cls).alias(f"support{cls}"))])
+    r = r.select(*keys, per_class.alias("c")).select(*keys, "c.*")
     prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("pp")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
     r = r.withColumns({"precision": prec, "recall": rec})
@@ -145,7 +145,7 @@ def class_share(preds: DataFrame, keys: list[str] = ()) -> DataFrame:
 def head_k(preds: DataFrame, k: int, keys: list[str] = (), by: str = "row_id") -> DataFrame:
     """First ``k`` predictions of every group: by input position
     (``row_id``, as the original) or by descending score (``by="score"``).
-    Positions come from range partitions, not a single-task window."""
+    Positions come from written range partitions, not a single-task window."""
     keys = list(keys)
     if by == "score":
         order = [F.col("score").desc(), F.col("row_id")]

@@ -31,8 +31,8 @@ class Sources:
     snapshots: DataFrame
 
 
-def fixture_sources(spark: SparkSession, sf_dir: str, profile: str = "all") -> Sources:
-    t = load_fixture(spark, sf_dir, profile)
+def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    t = load_fixture(spark, sf_dir)
     return Sources(t["plays"], t["contexts"], t["snapshots"])
 
 

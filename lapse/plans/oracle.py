@@ -35,11 +35,10 @@ def _d(d: dt.date) -> str:
     return f"DATE '{d.isoformat()}'"
 
 
-def base_ctes(profile: str) -> list[str]:
+def base_ctes() -> list[str]:
     """plays, contexts and snapshots derived from the driver tables."""
-    where = "WHERE event_type = 'purchase'" if profile == "sparse" else ""
     return [
-        f"ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events {where})",
+        f"ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)",
         "plays AS (SELECT CAST(user_id AS VARCHAR) AS user_id, "
         "strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS time, "
         "CAST(floor(value * 1000 + 0.5) AS BIGINT) AS ms_played, (event_id % 4 = 0) AS skipped, "

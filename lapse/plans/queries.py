@@ -2,8 +2,9 @@
 
 Each query is ``(spark, sf_dir) -> DataFrame`` and reads the whole tables.
 Doubles are rounded to 6 decimals in both engines so that results compare
-by value.  Profiles (FIXTURES.md section 4): ``all`` keeps every event,
-``sparse`` keeps purchases, so both churn classes occur.
+by value.  ``BASE`` has three prediction days; the label, evaluation and model
+queries use ``LABELLED``, one prediction day, in which both churn classes occur
+with every event kept (FIXTURES.md section 4).
 """
 
 from __future__ import annotations
@@ -36,11 +37,13 @@ from lapse.sources.io import export_json, read_examples
 
 BASE = "26_3d"
 SMALL = "12_3d"
+LABELLED = "26_1d"
+SMALL_LABELLED = "12_1d"
 SEED = 42
 
 
 def settings(dataset: str = BASE, **kw) -> Settings:
-    return resolve("fixture", dataset, **kw)
+    return resolve("fixture_labelled" if dataset.endswith("_1d") else "fixture", dataset, **kw)
 
 
 # ---------------------------------------------------------------- helpers
@@ -56,15 +59,14 @@ def rounded(df: DataFrame, digits: int = O.ROUND) -> DataFrame:
 
 
 class Ctx:
-    """Lazily built frames of one (sf_dir, profile) pair."""
+    """Lazily built frames of one (sf_dir, dataset) pair."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, profile: str = "all", dataset: str = BASE):
+    def __init__(self, spark: SparkSession, sf_dir: str, dataset: str = BASE):
         configure(spark)
         self.spark = spark
         self.sf_dir = sf_dir
-        self.profile = profile
         self.s = settings(dataset)
-        t = load_fixture(spark, sf_dir, profile)
+        t = load_fixture(spark, sf_dir)
         self.plays, self.contexts, self.snapshots = t["plays"], t["contexts"], t["snapshots"]
 
         self._staged: dict = {}
@@ -192,7 +194,7 @@ def q_top_combination(spark, sf):
 
 
 def q_churn_labels(spark, sf):
-    lab = Ctx(spark, sf, "sparse").labels()
+    lab = Ctx(spark, sf, LABELLED).labels()
     return lab.select("user_id", F.col("days_since_registration").cast("bigint").alias("days_since_registration"),
                       "product", "reporting_country", F.col("churn").cast("bigint").alias("churn"))
 
@@ -219,14 +221,14 @@ def q_split_assignment(spark, sf):
 
 
 def q_undersampled_train(spark, sf):
-    c = Ctx(spark, sf, "sparse")
+    c = Ctx(spark, sf, LABELLED)
     train = P.split_tables(c.arrays(), c.s.testsize)["train"]
     return P.undersample_table(train, c.s.retainedshare).select(
         "user_id", F.col("churn").cast("bigint").alias("churn"))
 
 
 def q_single_period(spark, sf):
-    c = Ctx(spark, sf, "sparse")
+    c = Ctx(spark, sf, LABELLED)
     sp = P.to_single_period(c.arrays())
     feats = P.select_features(c.arrays())
     arr = vector_to_array("features")
@@ -235,7 +237,7 @@ def q_single_period(spark, sf):
 
 
 def q_multi_period(spark, sf):
-    c = Ctx(spark, sf, "sparse")
+    c = Ctx(spark, sf, LABELLED)
     feats = P.select_features(c.arrays())
     mp = P.to_multi_period(c.arrays())
     ex = mp.select("user_id", F.posexplode("sequence").alias("slot_index", "v"))
@@ -244,20 +246,20 @@ def q_multi_period(spark, sf):
 
 
 def q_json_roundtrip(spark, sf):
-    c = Ctx(spark, sf, "sparse")
+    c = Ctx(spark, sf, LABELLED)
     path = os.path.join(checkpoint_dir(spark), "json_roundtrip", uuid.uuid4().hex)
     export_json(c.arrays(), path)
     return rounded(_checksums(read_examples(spark, path, MODEL_FEATURES)))
 
 
 def q_fold_assignment(spark, sf):
-    c = Ctx(spark, sf, "sparse")
+    c = Ctx(spark, sf, LABELLED)
     lab = c.labels().select("user_id", F.col("churn").cast("bigint").alias("label"))
     return FO.assign_folds(lab, 2, stratify=True, seed=SEED)
 
 
 def q_undersample_fold(spark, sf):
-    c = Ctx(spark, sf, "sparse")
+    c = Ctx(spark, sf, LABELLED)
     lab = c.labels().select("user_id", F.col("churn").cast("bigint").alias("label"))
     folds = FO.assign_folds(lab, 2, stratify=True, seed=SEED)
     parts = [FO.undersample(folds.where(F.col("fold") != k), 1.0, seed=SEED).withColumn("outer_fold", F.lit(k))
@@ -266,7 +268,7 @@ def q_undersample_fold(spark, sf):
 
 
 def _preds(spark, sf) -> DataFrame:
-    return Ctx(spark, sf, "sparse").predictions()
+    return Ctx(spark, sf, LABELLED).predictions()
 
 
 def q_confusion(spark, sf):
@@ -298,24 +300,24 @@ def q_head_k(spark, sf):
 
 
 def q_churn_by_country(spark, sf):
-    return rounded(X.churn_by(Ctx(spark, sf, "sparse").labels(), "reporting_country"))
+    return rounded(X.churn_by(Ctx(spark, sf, LABELLED).labels(), "reporting_country"))
 
 
 def q_churn_by_product(spark, sf):
-    return rounded(X.churn_by(Ctx(spark, sf, "sparse").labels(), "product"))
+    return rounded(X.churn_by(Ctx(spark, sf, LABELLED).labels(), "product"))
 
 
 def q_tenure_histogram(spark, sf):
-    return X.tenure_histogram(Ctx(spark, sf, "sparse").labels(), width=10)
+    return X.tenure_histogram(Ctx(spark, sf, LABELLED).labels(), width=10)
 
 
 def q_feature_trend(spark, sf):
-    c = Ctx(spark, sf, "sparse")
+    c = Ctx(spark, sf, LABELLED)
     return rounded(X.feature_trend(c.filled(), c.labels(), ["secs_played", "total_streams", "iat"]))
 
 
 def q_class_counts(spark, sf):
-    return X.class_counts(Ctx(spark, sf, "sparse").labels())
+    return X.class_counts(Ctx(spark, sf, LABELLED).labels())
 
 
 def q_accuracy(spark, sf):
@@ -327,20 +329,20 @@ def q_user_sample(spark, sf):
     return X.user_sample(lab, 0.05).select("user_id", F.col("churn").cast("bigint").alias("churn"))
 
 
-def _rewindowed(spark, sf, profile):
-    c = Ctx(spark, sf, profile)
-    small = settings(SMALL)
+def _rewindowed(spark, sf, dataset, small_dataset):
+    c = Ctx(spark, sf, dataset)
+    small = settings(small_dataset)
     parsed = rewindow(c.staged_parsed(), small)
     return c, small, slot_features(parsed, small)
 
 
 def q_rewindowed_slot_features(spark, sf):
-    _, _, slots = _rewindowed(spark, sf, "all")
+    _, _, slots = _rewindowed(spark, sf, BASE, SMALL)
     return rounded(slots)
 
 
 def q_rewindowed_labels(spark, sf):
-    c, small, slots = _rewindowed(spark, sf, "sparse")
+    c, small, slots = _rewindowed(spark, sf, LABELLED, SMALL_LABELLED)
     lab = L.label_churn(c.users(staged=True), slots, small)
     return lab.select("user_id", F.col("churn").cast("bigint").alias("churn"))
 
@@ -352,10 +354,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # ---------------------------------------------------------------- SQL
 
-def _ctes(profile: str, upto: str, s: Settings | None = None, pull: Settings | None = None) -> list[str]:
-    s = s or settings()
+def _ctes(dataset: str, upto: str, s: Settings | None = None, pull: Settings | None = None) -> list[str]:
+    s = s or settings(dataset)
     order = ["sample", "raw", "steps", "slots", "labels", "filled", "normed"]
-    ctes = O.base_ctes(profile) + O.sample_ctes(pull or s)
+    ctes = O.base_ctes() + O.sample_ctes(pull or s)
     if order.index(upto) >= 1:
         ctes += O.raw_ctes(s, pull)
     if order.index(upto) >= 2:
@@ -390,9 +392,9 @@ def _parsed_select(src: str = "parsed") -> str:
 
 
 def _preds_ctes() -> list[str]:
-    s = settings()
+    s = settings(LABELLED)
     n = len(s.windows.training_slots())
-    return _ctes("sparse", "labels") + [
+    return _ctes(LABELLED, "labels") + [
         "preds AS (SELECT l.user_id, l.churn AS label, "
         f"1.0 - CAST(COUNT(t.user_id) AS DOUBLE) / {n} AS score, "
         "ROW_NUMBER() OVER (ORDER BY l.user_id) - 1 AS row_id "
@@ -446,14 +448,14 @@ def _sql_auc() -> str:
                                      f"{O.rnd(f'SUM({pr})')} AS pr_auc FROM curve GROUP BY class")
 
 
-def _sql_user_checksums(profile: str) -> str:
-    return _checksums_sql(_ctes(profile, "normed"))
+def _sql_user_checksums(dataset: str) -> str:
+    return _checksums_sql(_ctes(dataset, "normed"))
 
 
 def _sql_single_period() -> str:
     feats = sorted(MODEL_FEATURES)
     cols = ", ".join(O.rnd(f"AVG({f})") + f" AS {f}" for f in feats)
-    return O.with_sql(_ctes("sparse", "normed"),
+    return O.with_sql(_ctes(LABELLED, "normed"),
                       f"SELECT n.user_id, CAST(l.churn AS BIGINT) AS churn, {cols} FROM normed n "
                       "JOIN labels l ON n.user_id = l.user_id GROUP BY n.user_id, l.churn")
 
@@ -461,14 +463,14 @@ def _sql_single_period() -> str:
 def _sql_multi_period() -> str:
     feats = sorted(MODEL_FEATURES)
     cols = ", ".join(O.rnd(f) + f" AS {f}" for f in feats)
-    return O.with_sql(_ctes("sparse", "normed"),
+    return O.with_sql(_ctes(LABELLED, "normed"),
                       "SELECT n.user_id, CAST(ROW_NUMBER() OVER (PARTITION BY n.user_id ORDER BY n.time) - 1 AS BIGINT) "
                       f"AS slot_index, {cols} FROM normed n JOIN labels l ON n.user_id = l.user_id")
 
 
 def _fold_ctes() -> list[str]:
     h = O.sql_hash_value(f"user_id", "split", seed=SEED)
-    return _ctes("sparse", "labels") + [
+    return _ctes(LABELLED, "labels") + [
         "lab AS (SELECT user_id, CAST(churn AS BIGINT) AS label FROM labels)",
         f"folds AS (SELECT user_id, label, CAST((ROW_NUMBER() OVER (PARTITION BY label ORDER BY {h}, user_id) - 1) % 2 AS INTEGER) AS fold FROM lab)",
     ]
@@ -496,24 +498,24 @@ def oracle_sql() -> dict[str, str]:
                 "timestr, play_context_decrypted")
     slot_cols = ", ".join(_slot_cols())
     sq = {}
-    sq["active_user_sample"] = O.with_sql(_ctes("all", "sample"), "SELECT user_id FROM users_sampled")
-    sq["user_info"] = O.with_sql(_ctes("all", "sample"),
+    sq["active_user_sample"] = O.with_sql(_ctes(BASE, "sample"), "SELECT user_id FROM users_sampled")
+    sq["user_info"] = O.with_sql(_ctes(BASE, "sample"),
                                  "SELECT user_id, CAST(days_since_registration AS BIGINT) AS days_since_registration, "
                                  "product, reporting_country FROM users")
-    sq["raw_streams"] = O.with_sql(_ctes("all", "raw"), f"SELECT {raw_cols} FROM raw")
-    sq["parsed_contexts"] = O.with_sql(_ctes("all", "raw"), _parsed_select())
-    sq["rewindowed_streams"] = O.with_sql(_ctes("all", "raw", s=s_small, pull=s), _parsed_select())
-    sq["inter_arrival"] = O.with_sql(_ctes("all", "steps"),
+    sq["raw_streams"] = O.with_sql(_ctes(BASE, "raw"), f"SELECT {raw_cols} FROM raw")
+    sq["parsed_contexts"] = O.with_sql(_ctes(BASE, "raw"), _parsed_select())
+    sq["rewindowed_streams"] = O.with_sql(_ctes(BASE, "raw", s=s_small, pull=s), _parsed_select())
+    sq["inter_arrival"] = O.with_sql(_ctes(BASE, "steps"),
                                      "SELECT user_id, timestampp, secs_played, play_context_decrypted, "
                                      "CAST(iat AS BIGINT) AS iat FROM steps")
-    sq["running_sums"] = O.with_sql(_ctes("all", "steps"),
+    sq["running_sums"] = O.with_sql(_ctes(BASE, "steps"),
                                     "SELECT user_id, timestampp, secs_played, play_context_decrypted, "
                                     + ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in SUM_COLS) + " FROM steps")
-    sq["slot_features_reference"] = O.with_sql(_ctes("all", "slots"), f"SELECT {slot_cols} FROM slotf")
-    sq["slot_features_nofanout"] = O.with_sql(_ctes("all", "slots", s=s.with_(fanout="none")),
+    sq["slot_features_reference"] = O.with_sql(_ctes(BASE, "slots"), f"SELECT {slot_cols} FROM slotf")
+    sq["slot_features_nofanout"] = O.with_sql(_ctes(BASE, "slots", s=s.with_(fanout="none")),
                                               f"SELECT {slot_cols} FROM slotf")
     sq["top_combination"] = O.with_sql(
-        _ctes("all", "slots"),
+        _ctes(BASE, "slots"),
         "SELECT user_id, CAST(slot AS BIGINT) AS time, top_type, platform, client_type, "
         f"{O.rnd('latitude')} AS latitude, {O.rnd('longitude')} AS longitude, plays FROM ("
         "SELECT user_id, slot, top_type, platform, client_type, latitude, longitude, plays, "
@@ -522,30 +524,30 @@ def oracle_sql() -> dict[str, str]:
         "CASE WHEN latitude != 999.9 THEN latitude END AS latitude, "
         "CASE WHEN longitude != 999.9 THEN longitude END AS longitude, COUNT(*) AS plays "
         "FROM rowslot GROUP BY 1, 2, 3, 4, 5, 6, 7)) WHERE rk = 1")
-    sq["churn_labels"] = O.with_sql(_ctes("sparse", "labels"),
+    sq["churn_labels"] = O.with_sql(_ctes(LABELLED, "labels"),
                                     "SELECT user_id, CAST(days_since_registration AS BIGINT) AS days_since_registration, "
                                     "product, reporting_country, CAST(churn AS BIGINT) AS churn FROM labels")
-    sq["training_slots"] = O.with_sql(_ctes("all", "labels"), f"SELECT {slot_cols} FROM training")
-    sq["zero_filled"] = O.with_sql(_ctes("all", "filled"), f"SELECT {slot_cols} FROM filled")
-    sq["normalized"] = O.with_sql(_ctes("all", "normed"),
+    sq["training_slots"] = O.with_sql(_ctes(BASE, "labels"), f"SELECT {slot_cols} FROM training")
+    sq["zero_filled"] = O.with_sql(_ctes(BASE, "filled"), f"SELECT {slot_cols} FROM filled")
+    sq["normalized"] = O.with_sql(_ctes(BASE, "normed"),
                                   "SELECT user_id, CAST(time AS BIGINT) AS time, "
                                   + ", ".join(O.rnd(f) + f" AS {f}" for f in MODEL_FEATURES) + " FROM normed")
-    sq["user_arrays"] = _sql_user_checksums("all")
+    sq["user_arrays"] = _sql_user_checksums(BASE)
     h_split = O.sql_hash_value("user_id", "split")
     nb = int(1 / s.testsize)
     sq["split_assignment"] = O.with_sql(
-        _ctes("all", "labels"),
+        _ctes(BASE, "labels"),
         f"SELECT user_id, CAST(churn AS BIGINT) AS churn, CASE WHEN {h_split} % {nb} = 0 THEN 'test' "
         f"WHEN {h_split} % {nb} = 1 THEN 'val' ELSE 'train' END AS split FROM labels")
     h_us = O.sql_hash_value("user_id", "undersample")
     sq["undersampled_train"] = O.with_sql(
-        _ctes("sparse", "labels") + [f"tr AS (SELECT * FROM labels WHERE {h_split} % {nb} NOT IN (0, 1))"],
+        _ctes(LABELLED, "labels") + [f"tr AS (SELECT * FROM labels WHERE {h_split} % {nb} NOT IN (0, 1))"],
         f"SELECT user_id, CAST(churn AS BIGINT) AS churn FROM tr WHERE churn = 0 AND {h_us} % "
         f"CAST(floor(1.0 / (SELECT SUM(churn) / COUNT(churn) FROM tr) + 0.5) AS BIGINT) < {s.retainedshare} "
         "UNION ALL SELECT user_id, CAST(churn AS BIGINT) AS churn FROM tr WHERE churn = 1")
     sq["single_period"] = _sql_single_period()
     sq["multi_period"] = _sql_multi_period()
-    sq["json_roundtrip"] = _sql_user_checksums("sparse")
+    sq["json_roundtrip"] = _sql_user_checksums(LABELLED)
     sq["fold_assignment"] = O.with_sql(_fold_ctes(), "SELECT user_id, label, fold FROM folds")
     sq["undersample_fold"] = _sql_undersample_fold()
     sq["confusion"] = _sql_confusion()
@@ -563,29 +565,29 @@ def oracle_sql() -> dict[str, str]:
     sq["head_k"] = O.with_sql(_preds_ctes(), f"SELECT user_id, label, {O.rnd('score')} AS score, row_id "
                                              "FROM preds WHERE row_id < 10")
     for col, name in (("reporting_country", "churn_by_country"), ("product", "churn_by_product")):
-        sq[name] = O.with_sql(_ctes("sparse", "labels"),
+        sq[name] = O.with_sql(_ctes(LABELLED, "labels"),
                               f"SELECT {col}, COUNT(*) AS users, CAST(SUM(churn) AS BIGINT) AS churners, "
                               f"{O.rnd('AVG(CAST(churn AS DOUBLE))')} AS churn_share FROM labels GROUP BY {col}")
     sq["tenure_histogram"] = O.with_sql(
-        _ctes("sparse", "labels"),
+        _ctes(LABELLED, "labels"),
         "SELECT CAST(churn AS BIGINT) AS churn, CAST(floor(days_since_registration / 10.0) * 10 AS BIGINT) AS bucket_start, "
         "COUNT(*) AS users FROM labels GROUP BY 1, 2")
     trend = ["secs_played", "total_streams", "iat"]
     sq["feature_trend"] = O.with_sql(
-        _ctes("sparse", "filled"),
+        _ctes(LABELLED, "filled"),
         "SELECT CAST(l.churn AS BIGINT) AS churn, CAST(f.time AS BIGINT) AS time, "
         + ", ".join(O.rnd(f"AVG(f.{c})") + f" AS {c}" for c in trend)
         + " FROM filled f JOIN labels l ON f.user_id = l.user_id GROUP BY l.churn, f.time")
-    sq["class_counts"] = O.with_sql(_ctes("sparse", "labels"),
+    sq["class_counts"] = O.with_sql(_ctes(LABELLED, "labels"),
                                     "SELECT CAST(churn AS BIGINT) AS churn, COUNT(*) AS users FROM labels GROUP BY churn")
     sq["accuracy"] = O.with_sql(_preds_ctes(),
                                 f"SELECT {O.rnd('AVG(CASE WHEN (CASE WHEN score > 0.5 THEN 1 ELSE 0 END) = label THEN 1.0 ELSE 0.0 END)')} "
                                 "AS accuracy, COUNT(*) AS n FROM preds")
-    sq["user_sample"] = O.with_sql(_ctes("all", "labels"),
+    sq["user_sample"] = O.with_sql(_ctes(BASE, "labels"),
                                    f"SELECT user_id, CAST(churn AS BIGINT) AS churn FROM labels "
                                    f"WHERE {O.sql_hash_value('user_id', 'sample')} % 20 = 0")
-    sq["rewindowed_slot_features"] = O.with_sql(_ctes("all", "slots", s=s_small, pull=s),
+    sq["rewindowed_slot_features"] = O.with_sql(_ctes(BASE, "slots", s=s_small, pull=s),
                                                 f"SELECT {slot_cols} FROM slotf")
-    sq["rewindowed_labels"] = O.with_sql(_ctes("sparse", "labels", s=s_small, pull=s),
+    sq["rewindowed_labels"] = O.with_sql(_ctes(LABELLED, "labels", s=settings(SMALL_LABELLED), pull=settings(LABELLED)),
                                          "SELECT user_id, CAST(churn AS BIGINT) AS churn FROM labels")
     return sq

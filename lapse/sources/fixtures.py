@@ -81,17 +81,9 @@ def snapshots_from_customers(customer: DataFrame, nation: DataFrame) -> DataFram
     )
 
 
-def load_fixture(spark: SparkSession, sf_dir: str, profile: str = "all") -> dict[str, DataFrame]:
-    """plays, contexts and snapshots from ``sf_dir``.
-
-    profile ``all`` keeps every event; ``sparse`` keeps purchases only (so
-    that both churn classes occur, FIXTURES.md section 4).
-    """
+def load_fixture(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """plays, contexts and snapshots from ``sf_dir``; every event is kept."""
     events = read_table(spark, sf_dir, "events")
-    if profile == "sparse":
-        events = events.where(F.col("event_type") == "purchase")
-    elif profile != "all":
-        raise ValueError(f"unknown profile {profile!r}")
     customer = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
     return {

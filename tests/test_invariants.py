@@ -6,13 +6,13 @@ from conftest import SF_MID
 from lapse.operators import labels as L
 from lapse.operators import prepare as P
 from lapse.operators.steps import add_running_sums
-from lapse.plans.queries import Ctx
+from lapse.plans.queries import LABELLED, Ctx
 from lapse.schema import COUNT_COLS, MODEL_FEATURES, SUM_COLS
 
 
 @pytest.fixture(scope="module")
 def ctx(spark):
-    return Ctx(spark, SF_MID, "sparse")
+    return Ctx(spark, SF_MID, LABELLED)
 
 
 def test_fill_grid(ctx):

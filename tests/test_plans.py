@@ -15,13 +15,13 @@ from lapse.sources.io import read_examples
 
 @pytest.fixture(scope="module")
 def datasets(spark):
-    src = fixture_sources(spark, SF_MID, "sparse")
-    return build_datasets(src, "fixture")
+    src = fixture_sources(spark, SF_MID)
+    return build_datasets(src, "fixture_labelled")
 
 
 def test_sample_once_and_windows(datasets):
-    assert list(datasets) == ["26_3d", "12_3d"]
-    big, small = datasets["26_3d"], datasets["12_3d"]
+    assert list(datasets) == ["26_1d", "12_1d"]
+    big, small = datasets["26_1d"], datasets["12_1d"]
     assert big.users.count() == small.users.count()
     n_small = len(small.settings.windows.training_slots())
     assert n_small == (12 - 3) * 3
@@ -31,24 +31,24 @@ def test_sample_once_and_windows(datasets):
 
 def test_export_roundtrip(spark, datasets):
     out = tempfile.mkdtemp(prefix="lapse-export-")
-    paths = export_splits(datasets["26_3d"], out)
+    paths = export_splits(datasets["26_1d"], out)
     assert set(paths) == {"tr", "te", "val", "trus"}
     back = read_examples(spark, paths["tr"])
-    tr = datasets["26_3d"].splits()["train"]
+    tr = datasets["26_1d"].splits()["train"]
     assert back.count() == tr.count()
     assert set(back.columns) >= {"user_id", "churn", "times", "secs_played"}
 
 
 def test_train_and_evaluate(spark, datasets):
     root = tempfile.mkdtemp(prefix="lapse-runs-")
-    ds = datasets["26_3d"]
+    ds = datasets["26_1d"]
     for model, grid in (("rf", {"n_estimators": [5]}), ("lr", {"C": [1.0], "penalty": ["l2"], "class_weight": [None]})):
-        s = resolve("fixture", "26_3d", model)
+        s = resolve("fixture_labelled", "26_1d", model)
         preds, cv, metrics = train_run(ds.arrays, model, s, grid=grid, out=root)
         assert preds.count() == ds.arrays.count()
         assert 0 <= metrics["roc_auc"] <= 1
-    assert os.path.isdir(os.path.join(root, "fixture", "26_3d", "rf", "predictions"))
-    tables = evaluate(spark, root, "fixture", "roc")
+    assert os.path.isdir(os.path.join(root, "fixture_labelled", "26_1d", "rf", "predictions"))
+    tables = evaluate(spark, root, "fixture_labelled", "roc")
     summ = tables["summary"].collect()
     assert {(r["model"], r["label"]) for r in summ} == {(m, l) for m in ("rf", "lr") for l in ("Churned", "Retained")}
     assert all(r["run_label"] for r in summ)
@@ -59,6 +59,6 @@ def test_train_and_evaluate(spark, datasets):
 
 
 def test_svd_run(spark, datasets):
-    s = resolve("fixture", "26_3d", "rf").with_(dimred=4)
-    preds, _, _ = train_run(datasets["26_3d"].arrays, "rf", s, grid={"n_estimators": [5]})
-    assert preds.count() == datasets["26_3d"].arrays.count()
+    s = resolve("fixture_labelled", "26_1d", "rf").with_(dimred=4)
+    preds, _, _ = train_run(datasets["26_1d"].arrays, "rf", s, grid={"n_estimators": [5]})
+    assert preds.count() == datasets["26_1d"].arrays.count()
