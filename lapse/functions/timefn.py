@@ -23,10 +23,6 @@ def epoch_seconds(col) -> Column:
     return F.timestamp_diff("SECOND", _epoch_ntz(), F.to_timestamp_ntz(c))
 
 
-def ntz_epoch_seconds(col) -> Column:
-    return F.timestamp_diff("SECOND", _epoch_ntz(), _c(col))
-
-
 def round_half_away(col) -> Column:
     """Cast to integer rounding half away from zero (the warehouse's CAST)."""
     c = _c(col)

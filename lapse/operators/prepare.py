@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lapse.conf import Settings
 from lapse.functions.buckets import hash_bucket
 from lapse.functions.timefn import round_half_away
-from lapse.schema import MODEL_FEATURES
+from lapse.schema import MODEL_FEATURES, SECS_IN_DAY
 
 
 @dataclass(frozen=True)
@@ -22,11 +22,18 @@ class ScalerStats:
     std: dict
 
 
-def fit_scaler(slots: DataFrame, features: list[str] | None = None) -> ScalerStats:
+def fit_scaler(slots: DataFrame, features: list[str] | None = None, fit_on: str = "all",
+               testsize: float = 0.1, family: str = "sha") -> ScalerStats:
     """Statistics over the real (``backfill = false``) rows.  One aggregation
-    job; its single result row (2 numbers per feature) comes to the driver."""
+    job; its single result row (2 numbers per feature) comes to the driver.
+    ``fit_on="train"`` uses the users of the training split only (P7); the
+    default uses all users, as the original does."""
+    if fit_on not in ("all", "train"):
+        raise ValueError(f"unknown fit_on {fit_on!r}")
     feats = list(features or MODEL_FEATURES)
     real = slots.where(~F.col("backfill")) if "backfill" in slots.columns else slots
+    if fit_on == "train":
+        real = split(real, testsize, family).where(F.col("split") == "train")
     aggs = []
     for f in feats:
         aggs += [F.avg(f).alias(f"m_{f}"), F.stddev_pop(f).alias(f"s_{f}")]
@@ -62,7 +69,7 @@ def to_user_arrays(norm: DataFrame, labels: DataFrame, s: Settings | None = None
     The slots of a user are collected as one list of structs and sorted once,
     so all arrays share one order.  With ``fill=True`` and settings given,
     missing training slots are filled by position with zeros (and flagged in
-    ``filled``), which equals zero-filling before normalising because filled
+    ``filled``) in one walk, which equals zero-filling before normalising because filled
     rows keep raw zeros; the long users x slots table is then never built.
     Users without any slot get all-zero arrays, as after zero fill.
     """
@@ -73,14 +80,28 @@ def to_user_arrays(norm: DataFrame, labels: DataFrame, s: Settings | None = None
     per_user = norm.groupBy("user_id").agg(F.sort_array(F.collect_list(entry)).alias("_slots"))
     j = labels.select("user_id", "churn").join(per_user, "user_id", "left" if fill else "inner")
     if fill and s is not None:
-        grid = F.array(*[F.lit(t).cast("bigint") for t in s.windows.training_slots()])
-        lookup = F.map_from_entries(F.transform(F.coalesce(F.col("_slots"), F.array()),
-                                                lambda e: F.struct(e["time"], e)))
+        w = s.windows
+        grid = w.training_slots()
         zero = F.struct(F.lit(0).cast("bigint").alias("time"),
                         *(F.lit(0.0).alias(f) for f in feats), F.lit(True).alias("backfill"))
-        full = F.transform(grid, lambda t: F.coalesce(F.try_element_at(lookup, t),
-                                                      zero.withField("time", t)))
-        j = j.withColumn("_slots", full)
+        j = j.withColumn("_slots", F.coalesce("_slots", F.array_repeat(zero, 0)))
+        slots, size = F.col("_slots"), F.size("_slots")
+
+        def place(i):
+            """Grid position of the i-th real slot; -1 before the first and
+            the grid's length after the last."""
+            past = F.get(slots, i)["time"] - F.lit(w.first_start)
+            inside = F.floor(F.pmod(past, F.lit(SECS_IN_DAY)) / F.lit(w.width))
+            at = (F.floor(past / F.lit(SECS_IN_DAY)) * w.timesplits
+                  + F.least(inside, F.lit(w.timesplits - 1))).cast("int")
+            return F.when(i < 0, -1).when(i >= size, len(grid)).otherwise(at)
+
+        # one walk over the real slots, with the gap before each filled by zeros
+        full = F.flatten(F.transform(F.sequence(F.lit(0), size), lambda i: F.concat(
+            F.array_repeat(zero, place(i) - place(i - 1) - 1), F.slice(slots, i + 1, F.lit(1)))))
+        stamped = F.zip_with(full, F.array(*[F.lit(t).cast("bigint") for t in grid]),
+                             lambda e, t: e.withField("time", t))
+        j = j.withColumn("_slots", stamped)
     cols = [F.col("user_id"), F.col("churn"),
             F.transform("_slots", lambda e: e["time"]).alias("times")]
     cols += [F.transform("_slots", _field(f)).alias(f) for f in feats]

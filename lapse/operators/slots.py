@@ -9,14 +9,12 @@ std_pop * sqrt(kn / (kn - 1)).  That closed form is computed here without
 the join (``fanout="reference"``); ``fanout="none"`` gives plain per-slot
 statistics (k = 1).
 
-Plan (one full shuffle of the stream rows):
+Plan (one scan and one shuffle of the stream rows):
 
 * rows are hash-partitioned on (user, slot) and sorted by time inside each
   slot; the only per-row window is the in-slot predecessor for ``iat``;
-* one hash aggregation per (user, slot) (fixed-width buffers only);
-* the combinations are counted from a partial aggregation on
-  (user, slot, combination) - tiny after the map-side combine - which also
-  gives the any-value columns;
+* one aggregation per (user, slot) on that partitioning gives the statistics,
+  the number of distinct combinations and the any-value columns;
 * carry-over between slots of a user (the previous timestamp for the
   first ``iat`` of a slot, running totals of played seconds) comes from a
   per-user window over slot rows, not over stream rows.
@@ -44,15 +42,12 @@ def _coord(c: str) -> F.Column:
     return F.when(F.col(c) != F.lit(MISSING_COORD), F.col(c))
 
 
-def _combos(x: DataFrame) -> DataFrame:
-    """Per (user, slot): number of distinct combinations and the any-values
-    (smallest value of each column, for reproducible output)."""
-    per_combo = x.groupBy("user_id", "slot", *COMBO_COLS).agg(F.count(F.lit(1)).alias("_c"))
-    return per_combo.groupBy("user_id", "slot").agg(
-        F.count(F.lit(1)).alias("_k"),
-        F.min("top_type").alias("top_type"), F.min("platform").alias("platform"),
-        F.min("client_type").alias("client_type"),
-        F.min(_coord("latitude")).alias("latitude"), F.min(_coord("longitude")).alias("longitude"))
+def _combo_aggs() -> list[F.Column]:
+    """Number of distinct combinations and the any-values (smallest value of
+    each column, for reproducible output)."""
+    return [F.count_distinct(F.struct(*COMBO_COLS)).alias("_k"), F.min("top_type").alias("top_type"),
+            F.min("platform").alias("platform"), F.min("client_type").alias("client_type"),
+            F.min(_coord("latitude")).alias("latitude"), F.min(_coord("longitude")).alias("longitude")]
 
 
 def slot_features(parsed: DataFrame, s: Settings) -> DataFrame:
@@ -75,9 +70,7 @@ def slot_features(parsed: DataFrame, s: Settings) -> DataFrame:
         aggs += [F.avg(v).alias(c), F.var_pop(v).alias(f"_var_{c}"), F.sum(v).alias(f"_tot_{c}")]
     for t in TOP_TYPES:
         aggs.append(F.sum(F.when(F.col("top_type") == F.lit(t), 1).otherwise(0)).alias(f"_n_{t.lower()}"))
-    g = y.groupBy("user_id", "slot").agg(*aggs)
-
-    g = g.join(_combos(x), ["user_id", "slot"], "inner")
+    g = y.groupBy("user_id", "slot").agg(*aggs, *_combo_aggs())
 
     # carry-over across the slots of a user (rows here are slots, not plays)
     user_w = Window.partitionBy("user_id").orderBy("slot")
@@ -127,7 +120,7 @@ def slot_features_from_steps(steps: DataFrame, s: Settings) -> DataFrame:
     for t in TOP_TYPES:
         aggs.append(F.sum(F.when(F.col("top_type") == F.lit(t), 1).otherwise(0)).alias(f"_n_{t.lower()}"))
     aggs += [F.max(c).alias(c) for c in SUM_COLS]
-    g = x.groupBy("user_id", "slot").agg(*aggs).join(_combos(x), ["user_id", "slot"], "inner")
+    g = x.groupBy("user_id", "slot").agg(*aggs, *_combo_aggs())
     k = F.col("_k") if s.fanout == "reference" else F.lit(1)
     kn = (F.col("_n") * k).cast("double")
     out = {f"{m}_std": F.when(kn > 1, F.sqrt(F.col(f"_var_{m}") * kn / (kn - 1))).otherwise(F.lit(0.0))

@@ -93,6 +93,22 @@ def sample_ctes(s: Settings) -> list[str]:
     ]
 
 
+def dated_sample_ctes(s: Settings) -> list[str]:
+    """Sample and info against daily snapshots: odd days lack odd users and
+    carry a product suffix."""
+    days = sorted({d for d, _ in s.windows.activity_days()} | {s.windows.info_date})
+    listed = ", ".join(f"({_d(d)})" for d in days)
+    sample, users = sample_ctes(s)
+    odd = "CAST(date_part('day', v.date) AS INTEGER) % 2 = 1"
+    snaps = ("snap2 AS (SELECT u.user_id, u.registration_date, v.date, u.reporting_country, "
+             f"CASE WHEN {odd} THEN u.product || '+' ELSE u.product END AS product "
+             f"FROM snap u, (VALUES {listed}) v(date) WHERE NOT ({odd}) OR CAST(u.user_id AS BIGINT) % 2 = 0)")
+    sample = sample.replace("JOIN snap u ON p.user_id = u.user_id", "JOIN snap2 u ON p.user_id = u.user_id AND p.date = u.date")
+    users = users.replace("JOIN snap u ON us.user_id = u.user_id",
+                          f"JOIN snap2 u ON us.user_id = u.user_id AND u.date = {_d(s.windows.info_date)}")
+    return [snaps, sample, users]
+
+
 def raw_ctes(s: Settings, pull: Settings | None = None) -> list[str]:
     """raw (I3) and parsed (I4) for the pull settings; ``s`` re-windows."""
     pull = pull or s

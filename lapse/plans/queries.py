@@ -33,7 +33,8 @@ from lapse.plans import oracle as O
 from lapse.schema import MODEL_FEATURES, PARSED_COLS, SUM_COLS
 from lapse.session import checkpoint_dir, configure, materialize
 from lapse.sources.fixtures import load_fixture
-from lapse.sources.io import export_json, read_examples
+from lapse.sources.io import (export_json, read_cv_results, read_examples, read_metrics, read_runs,
+                              write_run)
 
 BASE = "26_3d"
 SMALL = "12_3d"
@@ -347,6 +348,90 @@ def q_rewindowed_labels(spark, sf):
     return lab.select("user_id", F.col("churn").cast("bigint").alias("churn"))
 
 
+COUNTRY_LIST = tuple(f"NATION_{i}" for i in range(1, 25, 3))
+SUBSET = ("iat", "secs_played", "skip_ratio", "total_streams", "unique_top_types")
+
+
+def q_hash_sampled_users(spark, sf):
+    c = Ctx(spark, sf)
+    return sample_users(c.plays, c.contexts, c.snapshots, c.s.with_(shareusers=0.2))
+
+
+def q_country_sampled_users(spark, sf):
+    c = Ctx(spark, sf)
+    return sample_users(c.plays, c.contexts, c.snapshots, c.s.with_(countries=COUNTRY_LIST))
+
+
+def q_dated_snapshot_users(spark, sf):
+    """Users against daily snapshots: on odd days the product of the day has a
+    suffix and users of odd ids are missing."""
+    c = Ctx(spark, sf)
+    days = F.explode(F.array(*[F.lit(d) for d in sorted({d for d, _ in c.s.windows.activity_days()} | {c.s.windows.info_date})]))
+    odd = F.dayofmonth("date") % 2 == 1
+    snaps = c.snapshots.withColumn("date", days).where(~odd | (F.col("user_id").cast("bigint") % 2 == 0))
+    snaps = snaps.withColumn("product", F.when(odd, F.concat("product", F.lit("+"))).otherwise(F.col("product")))
+    u = add_user_info(sample_users(c.plays, c.contexts, snaps, c.s), snaps, c.s)
+    return u.withColumn("days_since_registration", F.col("days_since_registration").cast("bigint"))
+
+
+def q_feature_subset(spark, sf):
+    arrays = Ctx(spark, sf, LABELLED).arrays()
+    feats = P.select_features(arrays, SUBSET)
+    arr = vector_to_array("features")
+    return rounded(P.to_single_period(arrays, SUBSET).select(
+        "user_id", F.col("churn").cast("bigint").alias("churn"), *[arr[i].alias(f) for i, f in enumerate(feats)]))
+
+
+def q_array_values(spark, sf):
+    """Every slot of every user's arrays, with its time and fill flag."""
+    a = Ctx(spark, sf, LABELLED).arrays()
+    each = a.select("user_id", F.posexplode(F.arrays_zip("times", "filled", *MODEL_FEATURES)).alias("slot_index", "v"))
+    return rounded(each.select("user_id", F.col("slot_index").cast("bigint").alias("slot_index"),
+                               F.col("v.times").alias("time"), F.col("v.filled").alias("filled"),
+                               *[F.col(f"v.{f}").alias(f) for f in MODEL_FEATURES]))
+
+
+def _written_runs(spark, sf) -> str:
+    """Two written runs of one experiment: the baseline scores and their squares."""
+    preds = _preds(spark, sf)
+    root = os.path.join(checkpoint_dir(spark), "runs", uuid.uuid4().hex)
+    for model, score in (("plain", F.col("score")), ("square", F.col("score") * F.col("score"))):
+        scored = preds.withColumn("score", score)
+        r = M.accuracy(scored).first()
+        cv = spark.createDataFrame([(0, "{}", float(r["accuracy"]), 1)],
+                                   "setting int, params string, mean_test_score double, rank_test_score int")
+        write_run(scored, cv, {"accuracy": float(r["accuracy"]), "n": float(r["n"])},
+                  os.path.join(root, "fixture_labelled", LABELLED, model))
+    return root
+
+
+def q_run_head_k(spark, sf):
+    """The first 20 predictions of each written run, in input order."""
+    runs = read_runs(spark, _written_runs(spark, sf))
+    return rounded(M.head_k(runs, 20, ["model"]).select("model", "dataset", "user_id", "label", "score", "row_id"))
+
+
+def q_run_metrics_read(spark, sf):
+    """Metrics and search results of the written runs side by side."""
+    root = _written_runs(spark, sf)
+    m = read_metrics(spark, root).groupBy("model").pivot("metric", ["accuracy", "n"]).agg(F.max("value"))
+    cv = read_cv_results(spark, root).select("model", "mean_test_score")
+    return rounded(m.join(cv, "model"))
+
+
+def q_scored_summary(spark, sf):
+    return rounded(M.summary(_preds(spark, sf)))
+
+
+def q_summary_series(spark, sf):
+    s = M.summary(_preds(spark, sf).withColumn("group", F.pmod(F.col("row_id"), F.lit(2)).cast("bigint")), ["group"])
+    return rounded(M.series(s, "roc_auc", "group"))
+
+
+def q_score_five_number(spark, sf):
+    return rounded(M.five_number(_preds(spark, sf), "score", ["label"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
@@ -590,4 +675,56 @@ def oracle_sql() -> dict[str, str]:
                                                 f"SELECT {slot_cols} FROM slotf")
     sq["rewindowed_labels"] = O.with_sql(_ctes(LABELLED, "labels", s=settings(SMALL_LABELLED), pull=settings(LABELLED)),
                                          "SELECT user_id, CAST(churn AS BIGINT) AS churn FROM labels")
+    for name, kw in (("hash_sampled_users", {"shareusers": 0.2}), ("country_sampled_users", {"countries": COUNTRY_LIST})):
+        sq[name] = O.with_sql(O.base_ctes() + O.sample_ctes(s.with_(**kw)), "SELECT user_id FROM users_sampled")
+    sq["dated_snapshot_users"] = O.with_sql(O.base_ctes() + O.dated_sample_ctes(s), "SELECT user_id, "
+                                            "CAST(days_since_registration AS BIGINT) AS days_since_registration, "
+                                            "product, reporting_country FROM users")
+    sq["feature_subset"] = O.with_sql(
+        _ctes(LABELLED, "normed"), "SELECT n.user_id, CAST(l.churn AS BIGINT) AS churn, "
+        + ", ".join(O.rnd(f"AVG({f})") + f" AS {f}" for f in SUBSET)
+        + " FROM normed n JOIN labels l ON n.user_id = l.user_id GROUP BY n.user_id, l.churn")
+    sq["array_values"] = O.with_sql(
+        _ctes(LABELLED, "normed"), "SELECT n.user_id, CAST(ROW_NUMBER() OVER (PARTITION BY n.user_id ORDER BY n.time) - 1 "
+        "AS BIGINT) AS slot_index, CAST(n.time AS BIGINT) AS time, f.backfill AS filled, "
+        + ", ".join(O.rnd(f"n.{f}") + f" AS {f}" for f in MODEL_FEATURES)
+        + " FROM normed n JOIN filled f ON n.user_id = f.user_id AND n.time = f.time")
+    runs = _preds_ctes() + ["runs AS (SELECT model, user_id, label, CASE WHEN model = 'plain' THEN score ELSE score * score "
+                            "END AS score, row_id FROM preds, (VALUES ('plain'), ('square')) m(model))"]
+    sq["run_head_k"] = O.with_sql(runs, f"SELECT model, '{LABELLED}' AS dataset, user_id, label, {O.rnd('score')} AS score, "
+                                        "row_id FROM runs WHERE row_id < 20")
+    acc = O.rnd("AVG(CASE WHEN (CASE WHEN score > 0.5 THEN 1 ELSE 0 END) = label THEN 1.0 ELSE 0.0 END)")
+    sq["run_metrics_read"] = O.with_sql(runs, f"SELECT model, {acc} AS accuracy, CAST(COUNT(*) AS DOUBLE) AS n, "
+                                              f"{acc} AS mean_test_score FROM runs GROUP BY model")
+    sq["scored_summary"] = _sql_summary("f1, pr_auc, precision, recall, roc_auc")
+    sq["summary_series"] = _sql_summary("roc_auc", group="row_id % 2")
+    sq["score_five_number"] = O.with_sql(_preds_ctes(), "SELECT label, " + ", ".join(
+        O.rnd(f"quantile_cont(score, {q})") + f" AS {n}" for n, q in
+        (("min", 0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("max", 1))) + " FROM preds GROUP BY label")
     return sq
+
+
+def _sql_summary(cols: str, group: str = "0") -> str:
+    """The comparison table, or one of its columns as a series over groups."""
+    prec = "CAST(tp AS DOUBLE) / (tp + fp)"
+    prev = "CASE WHEN (tp - pos) + (fp - neg) > 0 THEN CAST(tp - pos AS DOUBLE) / ((tp - pos) + (fp - neg)) ELSE 1.0 END"
+    order = "OVER (PARTITION BY g, class ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ctes = _preds_ctes()[:-3] + [
+        f"bc AS (SELECT {group} AS g, label, score, 1 AS class FROM preds UNION ALL "
+        f"SELECT {group} AS g, 1 - label AS label, 1.0 - score AS score, 0 AS class FROM preds)",
+        "ps AS (SELECT g, class, score, SUM(label) AS pos, SUM(1 - label) AS neg FROM bc GROUP BY g, class, score)",
+        f"cu AS (SELECT *, SUM(pos) {order} AS tp, SUM(neg) {order} AS fp, SUM(pos) OVER (PARTITION BY g, class) AS P, "
+        "SUM(neg) OVER (PARTITION BY g, class) AS N FROM ps)",
+        "au AS (SELECT g, class, SUM(CAST(neg AS DOUBLE) * (tp - pos / 2.0) / (CAST(N AS DOUBLE) * P)) AS roc_auc, "
+        f"SUM(CASE WHEN tp - pos < P THEN pos * ({prec} + {prev}) / 2.0 / P END) AS pr_auc FROM cu GROUP BY g, class)",
+        "co AS (SELECT g, class, SUM(CASE WHEN score > 0.5 THEN label ELSE 0 END) AS t, "
+        "SUM(CASE WHEN score > 0.5 THEN 1 ELSE 0 END) AS pp, SUM(label) AS su FROM bc GROUP BY g, class)",
+        "pr AS (SELECT g, class, COALESCE(CAST(t AS DOUBLE) / NULLIF(pp, 0), 0.0) AS precision, "
+        "COALESCE(CAST(t AS DOUBLE) / NULLIF(su, 0), 0.0) AS recall FROM co)",
+        "sm AS (SELECT pr.g, pr.class, precision, recall, CASE WHEN precision + recall > 0 THEN "
+        "2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1, roc_auc, pr_auc "
+        "FROM pr JOIN au ON pr.g = au.g AND pr.class = au.class)"]
+    label = "CASE WHEN class = 1 THEN 'Churned' ELSE 'Retained' END AS label"
+    if group != "0":
+        return O.with_sql(ctes, f"SELECT CAST(g AS BIGINT) AS \"group\", {label}, {O.rnd(cols)} AS value FROM sm")
+    return O.with_sql(ctes, f"SELECT {label}, class, " + ", ".join(f"{O.rnd(c)} AS {c}" for c in cols.split(", ")) + " FROM sm")

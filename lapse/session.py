@@ -72,11 +72,19 @@ def materialize(df, name: str | None = None):
     parquet under the shared checkpoint folder and read it back (one job;
     survives executor loss, unlike a local checkpoint)."""
     import uuid
-    path = stage_path(df.sparkSession, name or uuid.uuid4().hex)
+    path = stage_path(df.sparkSession, name or f"{df.sparkSession.sparkContext.applicationId}/{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def drop_stages(spark: SparkSession) -> bool:
+    """Remove the unnamed stages this application has written.  Call it when
+    no frame that reads them is needed any more (results are written)."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_path(spark, spark.sparkContext.applicationId))
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(folder) and fs.delete(folder, True))
+
+
 def cluster_conf(total_cores: int, shuffle_bytes: float) -> dict:
     """Suggested settings for a large cluster (set them at submit time).
 
@@ -96,8 +104,10 @@ def cluster_conf(total_cores: int, shuffle_bytes: float) -> dict:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
-        # broadcast only what AQE has measured at run time to be small
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        # a side whose files are known to be small (the staged sample of user
+        # ids) is broadcast from the start, so play rows are not shuffled by
+        # user only to be filtered; AQE adds what it measures at run time
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
         "spark.sql.session.timeZone": "UTC",
     }

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Parquet table ``root/name.parquet`` (file or partitioned folder)."""
-    path = os.path.join(root, f"{name}.parquet")
-    if not os.path.exists(path):
-        path = os.path.join(root, name)
-    return spark.read.parquet(path)
+    """Parquet table ``root/name.parquet``, or else ``root/name`` (file or
+    partitioned folder), on any storage Spark can read."""
+    try:
+        return spark.read.parquet(f"{root}/{name}.parquet")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.read.parquet(f"{root}/{name}")
 
 
 def read_days(df: DataFrame, first: dt.date, last: dt.date, dates: list | None = None) -> DataFrame:
@@ -41,9 +44,3 @@ def snapshot_on(snap: DataFrame, day: dt.date | None) -> DataFrame:
     if day is not None and "date" in snap.columns:
         return snap.where(F.col("date") == F.lit(day)).drop("date")
     return snap.drop("date") if "date" in snap.columns else snap
-
-
-def flatten_play(df: DataFrame) -> DataFrame:
-    """Nested ``location`` struct -> ``latitude``, ``longitude`` columns."""
-    return df.withColumns({"latitude": F.col("location.latitude"),
-                           "longitude": F.col("location.longitude")}).drop("location")

@@ -10,7 +10,7 @@ from lapse.conf import resolve
 from lapse.plans.datasets import build_datasets, export_splits, fixture_sources
 from lapse.plans.evaluation import evaluate
 from lapse.plans.training import train_run
-from lapse.sources.io import read_examples
+from lapse.sources.io import read_cv_results, read_examples, read_metrics
 
 
 @pytest.fixture(scope="module")
@@ -53,6 +53,18 @@ def test_train_and_evaluate(spark, datasets):
     assert {(r["model"], r["label"]) for r in summ} == {(m, l) for m in ("rf", "lr") for l in ("Churned", "Retained")}
     assert all(r["run_label"] for r in summ)
     assert tables["roc"].count() > 0 and tables["confusion"].count() == 8
+    # the first predictions of a run in input order, where a plot asks for them
+    import copy
+    from lapse.conf import EXPERIMENTS
+    cat = copy.deepcopy(EXPERIMENTS)
+    cat["fixture_labelled"]["plots"]["precrec"] = {"at_k": 7}
+    first = evaluate(spark, root, "fixture_labelled", "precrec", catalogue=cat)["confusion"]
+    assert {r["s"] for r in first.groupBy("model").agg(F.sum("n").alias("s")).collect()} == {7}
+    cv = read_cv_results(spark, root)
+    assert {"split0_test_score", "split1_train_score", "std_fit_time", "std_test_score"} <= set(cv.columns)
+    assert cv.where("rank_test_score = 1").count() >= 4
+    assert {(r.model, r.metric) for r in read_metrics(spark, root).collect()} == {
+        (m, k) for m in ("rf", "lr") for k in ("roc_auc", "pr_auc")}
     from lapse.operators.metrics import series
     ser = series(tables["summary"], "f1", "dataset", ["model"]).collect()
     assert len(ser) == 4
