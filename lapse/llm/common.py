@@ -15,13 +15,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back:
-    the lineage is cut and any executor can reread the files."""
+    the lineage is cut and any executor can reread the files.  What the write
+    shuffled is removed at its end, as nothing will read it again."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stage_path = path
+    return out
+
+
+def discard(*stages: DataFrame) -> None:
+    """Remove stages that no other frame reads any more."""
+    for s in stages:
+        jvm = s.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(s.stage_path)
+        path.getFileSystem(s.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _importable(spark: SparkSession) -> None:

@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapse.llm import words as W
-from lapse.llm.common import stage, texts
+from lapse.llm.common import discard, stage, texts
 
 LENGTH = 100
 GRAM = 32
@@ -347,24 +348,29 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> D
         kept = stage(kept.dropDuplicates(["doc", "tie"]), "candidates")
     runs = stage(kept.mapInArrow(_contexts(length), "c1 long, c2 long, h long, doc long, pos long, off int, text binary"),
                  "runs")
-    lead = runs.groupBy("c1", "c2").agg(F.min(F.struct("doc", "pos")).alias("lead"))
-    lead = lead.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), "lead")
-    both = runs.join(lead.hint("merge"), (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2")))
-    leads = (F.col("doc") == F.col("lead.doc")) & (F.col("pos") == F.col("lead.pos"))
-    whole = both.where(~leads).select("doc", F.col("pos").alias("one"), (F.col("pos") + F.octet_length("text")).alias("two"))
-    left = stage(both.where(leads).select("h", "doc", "pos", "off", "text"), "contexts")
-    count = left.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("h").alias("h2"), "c")
-    left = left.join(count.hint("merge"), left["h"] == count["h2"])
-    sort = left.where(F.col("c") <= hot).select("h", "doc", "pos", "off", "text")
-    sorted_ = sort.repartition("h").sortWithinPartitions("h").mapInArrow(_repeats(length), "doc long, one long, two long")
-    spread = left.where(F.col("c") > hot).select("doc", "pos", "text").mapInArrow(
-        _prefixes(length), "w1 long, w2 long, doc long, one long")
-    lead = spread.groupBy("w1", "w2").agg(F.min(F.struct("doc", "one")).alias("lead"))
-    lead = lead.select(F.col("w1").alias("x1"), F.col("w2").alias("x2"), "lead")
-    spread = spread.join(lead.hint("merge"), (F.col("w1") == F.col("x1")) & (F.col("w2") == F.col("x2"))).where(
-        (F.col("doc") != F.col("lead.doc")) | (F.col("one") != F.col("lead.one")))
-    spread = spread.select("doc", "one", (F.col("one") + length).alias("two"))
-    marks = whole.unionByName(sorted_).unionByName(spread)
+    # one of each context, the earliest; the others repeat it as a whole
+    left = runs.groupBy("c1", "c2").agg(F.min(F.struct("doc", "pos", "h", "off", "text")).alias("lead"))
+    left = stage(left.select("c1", "c2", "lead.*"), "contexts")
+    lead = left.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), F.col("doc").alias("d"), F.col("pos").alias("p"))
+    later = runs.select("c1", "c2", "doc", "pos", F.octet_length("text").alias("size")).join(
+        lead.hint("merge"), (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2")))
+    marks = [stage(later.where("doc <> d or pos <> p").select("doc", F.col("pos").alias("one"),
+                                                              (F.col("pos") + F.col("size")).alias("two")), "copied")]
+    discard(runs)
+    left = left.select("h", "doc", "pos", "off", "text")
+    often = stage(left.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > hot).select("h"), "hot")
+    if not often.isEmpty():
+        spread = left.join(often, "h", "left_semi").select("doc", "pos", "text").mapInArrow(
+            _prefixes(length), "w1 long, w2 long, doc long, one long")
+        first = spread.groupBy("w1", "w2").agg(F.min(F.struct("doc", "one")).alias("lead"))
+        first = first.select(F.col("w1").alias("x1"), F.col("w2").alias("x2"), "lead")
+        spread = spread.join(first.hint("merge"), (F.col("w1") == F.col("x1")) & (F.col("w2") == F.col("x2"))).where(
+            (F.col("doc") != F.col("lead.doc")) | (F.col("one") != F.col("lead.one")))
+        marks.append(stage(spread.select("doc", "one", (F.col("one") + length).alias("two")), "spread"))
+        left = left.join(often, "h", "left_anti")
+    sorted_ = left.repartition("h").sortWithinPartitions("h").mapInArrow(_repeats(length), "doc long, one long, two long")
+    marks.append(stage(sorted_, "sorted"))
+    marks = reduce(DataFrame.unionByName, marks)
     marks = marks.groupBy("doc", F.shiftright("one", _TIE).cast("int").alias("tie")).agg(
         F.collect_list(F.struct("one", "two")).alias("m"))
     marks = marks.select("doc", "tie", F.col("m.one").alias("ones"), F.col("m.two").alias("twos"))
