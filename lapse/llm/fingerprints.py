@@ -81,11 +81,11 @@ def _kmers(text: Column, k: int, which: int) -> Column:
                 F.lit(which << POSITION_BITS).cast("long")).bitwiseOR(x.bitwiseAND(F.lit(mask).cast("long")))))
             .otherwise(numbered(s)))
 
-    trimmed = F.regexp_replace(text, r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$", "")
+    trimmed = F.btrim(text, F.lit("\t\n\x0b\x0c\r "))
     return F.when(trimmed == "", F.array().cast("array<bigint>")).otherwise(let(F.split(trimmed, space), of))
 
 
-def _order(docs: DataFrame, ranges: int) -> tuple[DataFrame, list[int]]:
+def _order(docs: DataFrame, ranges: int) -> DataFrame:
     """The rows with ``part``: numbers of doc_id ranges, ascending."""
     d = texts(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     cuts = d.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 20_000)).first()[0] or []
@@ -97,31 +97,28 @@ def _order(docs: DataFrame, ranges: int) -> tuple[DataFrame, list[int]]:
         steps = F.array(*[F.lit(1 << j) for j in reversed(range(len(cuts).bit_length()))])
         part = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
             F.get(array, at + step - 1) <= F.col("doc_id"), at + step).otherwise(at))
-    return d.withColumn("part", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(part)), cuts
+    return d.withColumn("part", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(part))
 
 
 def with_next(docs: DataFrame, ranges: int = RANGES) -> DataFrame:
-    """``doc_id, text, next_id, next_text``: the next row by descending doc_id
-    (equal ids by text digest); after the last row the first."""
-    d, _ = _order(docs, ranges)
-    by = [F.col("doc_id").desc_nulls_last(), F.md5("text")]
-    heads = d.groupBy("part").agg(F.max(F.col("doc_id")).alias("head_id"))
-    parts = sorted(r["part"] for r in heads.collect())
-    if not parts:
-        return d.select("doc_id", "text", F.col("doc_id").alias("next_id"), F.col("text").alias("next_text"))
-    follows = {p: parts[i - 1] for i, p in enumerate(parts)}
-    target = F.create_map(*[F.lit(x) for p, q in follows.items() for x in (q, p)])
-    first = d.join(heads.select(F.col("part").alias("p"), "head_id"),
+    """``part, doc_id, text, next_id, next_text``: the next row by descending
+    doc_id (equal ids by text digest); after the last row the first.  The rows
+    lie hash-partitioned by ``part``; texts are shuffled once."""
+    d = _order(docs, ranges)
+    heads = d.groupBy("part").agg(F.max("doc_id").alias("head_id"))
+    parts = sorted(r["part"] for r in heads.collect())  # at most ranges + 1
+    # the first row of every range: at most ranges + 1 ids are sent around
+    first = d.join(F.broadcast(heads.select(F.col("part").alias("p"), "head_id")),
                    (F.col("part") == F.col("p")) & F.col("doc_id").eqNullSafe(F.col("head_id")), "left_semi")
-    # of equal ids at the head of a range the first by digest
-    first = first.groupBy("part").agg(F.min_by(F.struct("doc_id", "text"), F.md5("text")).alias("h"))
-    first = first.select(F.get(F.transform(F.array(target), lambda m: m[F.col("part")]), F.lit(0)).alias("p"), "h")
-    w = Window.partitionBy("part").orderBy(*by)
+    first = first.groupBy("part").agg(F.min_by(F.struct("doc_id", "text"), F.md5("text")).alias("head"))
+    ahead = {parts[i - 1]: p for i, p in enumerate(parts)}  # whose last row a range's first row follows
+    target = F.create_map(*[F.lit(x) for q_p in ahead.items() for x in q_p]) if parts else F.lit(None).cast("map<int,int>")
+    first = first.select(F.element_at(target, F.col("part")).alias("p"), "head")
+    w = Window.partitionBy("part").orderBy(F.col("doc_id").desc_nulls_last(), F.md5("text"))
     d = d.withColumn("own", F.lead(F.struct("doc_id", "text")).over(w))
-    last = d.where("own is null").join(first, F.col("part") == F.col("p")).select(
-        "doc_id", "text", F.col("h").alias("own"))
-    out = d.where("own is not null").select("doc_id", "text", "own").unionByName(last)
-    return out.select("doc_id", "text", F.col("own.doc_id").alias("next_id"), F.col("own.text").alias("next_text"))
+    d = d.join(first.hint("merge"), F.col("part") == F.col("p"), "left")
+    follower = F.coalesce("own", "head")
+    return d.select("part", "doc_id", "text", follower["doc_id"].alias("next_id"), follower["text"].alias("next_text"))
 
 
 def fingerprints(docs: DataFrame, k: int = K, functions: int = FUNCTIONS, ranges: int = RANGES) -> DataFrame:
@@ -132,10 +129,11 @@ def fingerprints(docs: DataFrame, k: int = K, functions: int = FUNCTIONS, ranges
     cut = F.expr("cast(n_chars div 3 as int)")
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut),
                                               F.substring("next_text", F.lit(1), cut)))
-    rows = rows.select("doc_id", "next_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+    rows = rows.select("part", "doc_id", "next_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                        F.sha2("text", 256).alias("own_sha"), F.sha2("next_text", 256).alias("next_sha"),
                        F.concat(_kmers(F.col("text"), k, 0), _kmers(F.col("edited"), k, 1)).alias("kmers"))
-    base = ["doc_id", "next_id", "n_chars", "edited_sha256", "own_sha", "next_sha"]
+    # with "part" among the keys the aggregations keep the rows where they are
+    base = ["part", "doc_id", "next_id", "n_chars", "edited_sha256", "own_sha", "next_sha"]
     each = rows.select(*base, F.explode_outer("kmers").alias("x"))
     side = F.shiftright(F.col("x"), POSITION_BITS).bitwiseAND(F.lit(1).cast("long"))
     each = each.withColumn("side", F.coalesce(side, F.lit(-1).cast("long")))
@@ -150,25 +148,25 @@ def fingerprints(docs: DataFrame, k: int = K, functions: int = FUNCTIONS, ranges
         one, two = F.shiftright(a, POSITION_BITS + 1), F.shiftright(z, POSITION_BITS + 1)
         early = a.bitwiseAND(mask) <= z.bitwiseAND(mask)
         entries.append(F.substring(F.hex(F.when(early, F.xxhash64(one, two)).otherwise(F.xxhash64(two, one))), -8, 8))
-    sign = stage(ends.select(*base, "side", F.lpad(F.concat(*entries), 8 * functions, "0").alias("print")), "prints")
-    return _compare(sign, functions)
+    sign = ends.select(*base, "side", F.lpad(F.concat(*entries), 8 * functions, "0").alias("print"))
+    none = F.lit("0" * 8 * functions)
+    both = sign.groupBy(*base).agg(
+        F.coalesce(F.max(F.when(F.col("side") == 0, F.unhex("print"))), F.unhex(none)).alias("own"),
+        F.coalesce(F.max(F.when(F.col("side") == 1, F.unhex("print"))), F.unhex(none)).alias("edited"))
+    return _compare(stage(both.drop("part", "next_id"), "prints"), functions)
 
 
-def _compare(sign: DataFrame, functions: int) -> DataFrame:
-    """Both fingerprints of a row side by side, and the next document's."""
-    base = ["doc_id", "next_id", "n_chars", "edited_sha256", "own_sha", "next_sha"]
-    none = F.lit("0" * 8 * functions)
-    both = sign.groupBy(*base).agg(F.max(F.when(F.col("side") == 0, F.col("print"))).alias("own"),
-                                   F.max(F.when(F.col("side") == 1, F.col("print"))).alias("edited"))
-    both = both.withColumns({"own": F.coalesce("own", none), "edited": F.coalesce("edited", none)})
+def _compare(both: DataFrame, functions: int) -> DataFrame:
+    """The result rows: each row's fingerprints beside the next document's,
+    which has the fingerprint of its text."""
     by_text = both.groupBy("own_sha").agg(F.max("own").alias("next_print")).withColumnRenamed("own_sha", "sha")
     both = both.join(by_text, F.col("next_sha") == F.col("sha"), "left")
 
     def near(x: Column, y: Column) -> Column:
-        same = [F.when(F.substring(x, 8 * j + 1, 8) == F.substring(y, 8 * j + 1, 8), 1).otherwise(0)
+        same = [F.when(F.substring(x, 4 * j + 1, 4) == F.substring(y, 4 * j + 1, 4), 1).otherwise(0)
                 for j in range(functions)]
         return sum(same[1:], same[0]) / F.lit(float(functions))
 
-    return both.select("doc_id", "n_chars", "edited_sha256", F.col("own").alias("fingerprint"),
-                       F.col("edited").alias("edited_fingerprint"), near(F.col("own"), F.col("edited")).alias("near_edited"),
-                       near(F.col("own"), F.coalesce("next_print", none)).alias("near_next"))
+    return both.select("doc_id", "n_chars", "edited_sha256", F.lower(F.hex("own")).alias("fingerprint"),
+                       F.lower(F.hex("edited")).alias("edited_fingerprint"), near(F.col("own"), F.col("edited")).alias("near_edited"),
+                       near(F.col("own"), F.col("next_print")).alias("near_next"))
