@@ -15,21 +15,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a stage is written: what the write shuffled goes at its end, as nothing
+#: will read it again; texts reach Python in small batches.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+            "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back:
-    the lineage is cut and any executor can reread the files.  What the write
-    shuffled is removed at its end, as nothing will read it again."""
+    the lineage is cut and any executor can reread the files."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    before = {k: spark.conf.get(k) for k in _WRITING}
     try:
+        for k, v in _WRITING.items():
+            spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out.stage_path = path
     return out

@@ -51,11 +51,13 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    if column.null_count:
+        column = pc.fill_null(column, "")
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
     _, off, data = column.buffers()
-    off = np.frombuffer(off, np.int64)[column.offset:column.offset + len(column) + 1]
+    off = np.frombuffer(off, width)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return data[off[0]:off[-1]], off - off[0]
 
