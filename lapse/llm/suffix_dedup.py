@@ -48,9 +48,9 @@ from lapse.llm.common import discard, stage, texts
 LENGTH = 100
 GRAM = 32
 SHALLOW = 32
-HOT = 20_000
+HOT = 200_000
 #: Suffixes sorted at a time in a task.
-CHUNK = 400_000
+CHUNK = 300_000
 _TIE = 40  # positions hold the number of the text among those of its doc_id above this bit
 _LAST = 2**63 - 1  # stands for a missing doc_id
 _PLACE = np.uint64((1 << 28) - 1)
@@ -116,8 +116,17 @@ def _contexts(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
+        names = ["c1", "c2", "h", "doc", "pos", "off", "text"]
+        types = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
+        rows = [[] for _ in names]
+
+        def taken() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, types)], names=names)
+            for r in rows:
+                r.clear()
+            return out
+
         for batch in batches:
-            rows = [[] for _ in range(7)]
             for doc, tie, blob, places in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3)):
                 raw = unpack(blob)
                 start, place, h = minimizers(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), length)
@@ -133,9 +142,9 @@ def _contexts(length: int):
                                            int.from_bytes(key[8:], "little", signed=True),
                                            int(h[at].astype(np.int64)), doc, base + lo, at - lo, text)):
                         r.append(v)
-            types = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, types)],
-                                             names=["c1", "c2", "h", "doc", "pos", "off", "text"])
+                if len(rows[0]) > 20_000:
+                    yield taken()
+        yield taken()
 
     return run
 
@@ -226,14 +235,32 @@ def _dense(group: np.ndarray) -> np.ndarray:
 def _repeats(length: int):
     """Marks of the contexts of whole minimizers, which arrive sorted by hash."""
 
-    def settle(h, doc, pos, off, texts) -> pa.RecordBatch | None:
+    def settle(h, doc, pos, off, texts) -> Iterator[pa.RecordBatch]:
         data = np.frombuffer(b"".join(texts) + bytes(8), np.uint8)
         size = np.array([len(t) for t in texts])
         base = np.concatenate([[0], np.cumsum(size)])[:-1]
-        windows = size - length + 1
-        ends = np.concatenate([[0], np.cumsum(windows)])
-        which = np.repeat(np.arange(len(texts)), windows)
-        step = np.arange(ends[-1]) - ends[which]
+        # a context's suffixes lie at distances low..off before its minimizer;
+        # distances are independent, so many suffixes are sorted by slices of them
+        low = off - (size - length)
+        change = np.zeros(int(off.max()) + 2, np.int64)
+        np.add.at(change, low, 1)
+        np.add.at(change, off + 1, -1)
+        total = np.cumsum(np.cumsum(change))
+        one, last = int(low.min()), int(off.max())
+        while one <= last:
+            done = total[one - 1] if one else 0
+            two = max(one, min(last, int(np.searchsorted(total, done + CHUNK, "right")) - 1))
+            first, stop = np.maximum(low, one), np.minimum(off, two)
+            count = np.maximum(stop - first + 1, 0)
+            ends = np.concatenate([[0], np.cumsum(count)])
+            which = np.repeat(np.arange(len(texts)), count)
+            step = (off - stop)[which] + np.arange(ends[-1]) - ends[which]
+            found = slice_(h, doc, pos, off, data, base, which, step)
+            if found:
+                yield found
+            one = two + 1
+
+    def slice_(h, doc, pos, off, data, base, which, step) -> pa.RecordBatch | None:
         bucket = W.mix(h[which].view(np.uint64) ^ W.mix((off[which] - step).astype(np.uint64)))
         live, group = deep_shallow(data, base[which] + step, bucket, length)
         own = which[live]
@@ -261,14 +288,10 @@ def _repeats(length: int):
                 if not len(ready):
                     break
                 r = int(ready[0])
-                done = settle(*[x[:r] for x in held])
+                yield from settle(*[x[:r] for x in held])
                 held = [x[r:] for x in held]
-                if done:
-                    yield done
         if held[4]:
-            done = settle(*held)
-            if done:
-                yield done
+            yield from settle(*held)
 
     return run
 
