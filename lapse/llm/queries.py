@@ -61,4 +61,29 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup, op2_passages, op3_quality, op4_sharding, op5_fingerprints, op6_repeated_strings,
     op7_decontamination, op8_licenses, op9_lm_scores, op10_packing)}
-ORACLE_SQL: dict[str, str] = {}
+
+#: Links between all documents that share a shingle, by their full sets, and
+#: the smallest document reachable over them.
+_NEAR_DEDUP = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+      WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b
+      ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * common >= 85 * (x.n + y.n - common)),
+e AS (SELECT a AS u, b AS v FROM l UNION ALL SELECT b AS u, a AS v FROM l),
+r AS (SELECT u, u AS root FROM e UNION SELECT e.v AS u, r.root FROM r JOIN e ON e.u = r.u),
+c AS (SELECT u, min(root) AS root FROM r GROUP BY u)
+SELECT t.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(c.root, t.doc_id) AS component_id,
+       t.doc_id = coalesce(c.root, t.doc_id) AS kept
+FROM t LEFT JOIN n ON n.doc_id = t.doc_id LEFT JOIN c ON c.u = t.doc_id"""
+
+#: The other operators have no SQL (models, tokenizers, hashes of their own) or
+#: none that ends on whole tables; tests compare them with brute force.
+ORACLE_SQL: dict[str, str] = {"op1_near_dedup": _NEAR_DEDUP}
