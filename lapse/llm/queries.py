@@ -84,6 +84,27 @@ SELECT t.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(c.root
        t.doc_id = coalesce(c.root, t.doc_id) AS kept
 FROM t LEFT JOIN n ON n.doc_id = t.doc_id LEFT JOIN c ON c.u = t.doc_id"""
 
+#: All windows of 100 bytes (as hexadecimal digits) that also start earlier,
+#: their runs, and the digest of what lies between the runs.
+_REPEATED_STRINGS = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT d.doc_id, t.p, md5(substr(d.x, 2 * t.p + 1, 200)) AS s
+      FROM d, unnest(range(0, CAST(length(d.x) // 2 AS BIGINT) - 99)) AS t(p)),
+m AS (SELECT doc_id, p FROM (
+        SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w) WHERE k > 1),
+g AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100 THEN 0 ELSE 1 END AS fresh FROM m),
+h AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM g),
+r AS (SELECT doc_id, span, min(p) AS a, max(p) + 100 AS b FROM h GROUP BY doc_id, span),
+k AS (SELECT doc_id, lag(b, 1, CAST(0 AS BIGINT)) OVER (PARTITION BY doc_id ORDER BY a) AS one, a AS two FROM r
+      UNION ALL SELECT doc_id, max(b) AS one, NULL AS two FROM r GROUP BY doc_id),
+kept AS (SELECT k.doc_id, string_agg(CASE WHEN two IS NULL THEN substr(x, 2 * one + 1)
+                                     ELSE substr(x, 2 * one + 1, 2 * (two - one)) END, '' ORDER BY one) AS hx
+         FROM k JOIN d ON k.doc_id = d.doc_id GROUP BY k.doc_id),
+t AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(d.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(t.removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(t.spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.hx, d.x))) AS kept_sha256
+FROM d LEFT JOIN t ON t.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
 #: The other operators have no SQL (models, tokenizers, hashes of their own) or
 #: none that ends on whole tables; tests compare them with brute force.
-ORACLE_SQL: dict[str, str] = {"op1_near_dedup": _NEAR_DEDUP}
+ORACLE_SQL: dict[str, str] = {"op1_near_dedup": _NEAR_DEDUP, "op6_repeated_strings": _REPEATED_STRINGS}
