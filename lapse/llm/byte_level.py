@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 from lapse.llm import words as W
 
 #: Splits a worker remembers before it starts anew (memory bound only).
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 _LETTER, _NUMBER, _SPACE, _OTHER = range(4)
 _ODD_LEAD = 0xC9  # first byte of U+0240 and above
 
@@ -92,8 +92,11 @@ class Encoder:
         self.at = np.zeros((1 << 16) + 1, np.int64)
 
     def whole(self, batch: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch(batch, add_special_tokens=False)
-        return [np.asarray(e.ids, np.uint32) for e in found]
+        out: list[np.ndarray] = []
+        for i in range(0, len(batch), 4096):  # the library's results are large
+            found = self.tokenizer.encode_batch(batch[i:i + 4096], add_special_tokens=False)
+            out += [np.asarray(e.ids, np.uint32) for e in found]
+        return out
 
     def _learn(self, hashes: list[int], spans: list[bytes]) -> None:
         new = self.whole([s.decode() for s in spans])

@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #: While a stage is written: what the write shuffled goes at its end, as nothing
 #: will read it again; texts reach Python in small batches.
 _WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-            "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+            "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

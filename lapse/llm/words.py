@@ -24,7 +24,7 @@ _INVERSE = pow(_BASE, -1, 2**64)
 _SLOTS = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _pow = np.ones(1, np.uint64)
 _inv = np.ones(1, np.uint64)
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
