@@ -126,16 +126,15 @@ def dual_descent(slots: list[np.ndarray], y: np.ndarray, scale: np.ndarray, cost
     w = np.zeros(len(scale) + 1)
     share = np.bincount((y > 0).astype(int), minlength=2) / len(y)
     top = np.where(y > 0, cost / (2 * share[1]), cost / (2 * share[0]))
-    values = [scale[s] for s in slots]
-    norm = [np.sqrt(v @ v) or 1.0 for v in values]
-    values = [v / k for v, k in zip(values, norm)]
-    square = np.array([v @ v for v in values]) + 1.0
+    norm = np.array([np.sqrt(scale[s] @ scale[s]) or 1.0 for s in slots])
+    square = np.array([(scale[s] / k) @ (scale[s] / k) for s, k in zip(slots, norm)]) + 1.0
     alpha = np.zeros(len(y))
     rng = np.random.default_rng(seed)
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(len(y)):
-            s, v = slots[i], values[i]
+            s = slots[i]
+            v = scale[s] / norm[i]
             g = y[i] * (w[s] @ v + w[-1]) - 1.0
             new = min(max(alpha[i] - g / square[i], 0.0), top[i])
             if new != alpha[i]:
