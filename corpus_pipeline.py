@@ -14,7 +14,7 @@ from lapse.llm.common import stage, table
 from lapse.llm.decontamination import clean
 from lapse.llm.near_dedup import one_of_each
 from lapse.llm.packing import VOCABULARY, pack
-from lapse.llm.paragraph_dedup import repeated_passages, without
+from lapse.llm.paragraph_dedup import SHARE, repeated_passages, without
 from lapse.llm.quality import accepted
 
 
@@ -24,8 +24,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return one_of_each(docs)
+    """One document of each group of near-duplicates (similarity 0.8 or more,
+    as in all stages on word shingles) stays."""
+    return one_of_each(docs, SHARE)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,10 +118,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, share: tuple[int, i
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
     """The rows of ``docs``, all columns, without near-duplicates: of every
     group the document with the smallest doc_id, of repeated rows one."""
-    found = stage(near_duplicates(docs), "groups")
+    found = stage(near_duplicates(docs, share=share), "groups")
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     out = docs.join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti")
     n = found.where("doc_id is not null").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("k")).first()

@@ -67,3 +67,14 @@ def test_planted_cases(spark, documents, tmp_path):
     assert sum(passage in t for t in left.values()) == 1
     clean = [i for i in own if i in left and i not in (100_010, 100_011, 100_012)]
     assert all(left[i] == own[i] for i in clean)
+
+
+def test_near_dedup_links_from_four_fifths_on(spark):
+    own = [f"w{i}" for i in range(304)]  # 300 shingles
+    other = own[:100] + ["new"] + own[101:200] + ["new"] + own[201:300] + ["new"] + own[301:]
+    for i in (20, 50, 150):
+        other[i] = "new"
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (own, other)]
+    assert 0.8 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.85
+    docs = spark.createDataFrame([(1, " ".join(own)), (2, " ".join(other))], "doc_id long, text string")
+    assert [x.doc_id for x in corpus_pipeline.near_dedup(spark, docs, SF).collect()] == [1]
