@@ -66,3 +66,42 @@ def test_rules_and_native_plan(documents, odd, empty):
     assert all((r.n_words, r.labels, r.score) == (0, "", 0.0) for r in df.where("doc_id in (2, 3, 4)").collect())
     plan = scan(documents)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Exchange"))
+
+
+def some_match(tree, r):
+    """A random string that a parsed expression matches."""
+    out = ""
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += "".join(some_match(arg[2], r) for _ in range(r.randint(arg[0], min(arg[1], arg[0] + 2))))
+        elif name == "SUBPATTERN":
+            out += some_match(arg[3], r)
+        elif name == "BRANCH":
+            out += some_match(r.choice(arg[1]), r)
+        elif name == "IN":
+            kind, value = r.choice(arg)
+            out += chr(value) if str(kind) == "LITERAL" else "7" if "NOT" not in str(value) else "x"
+        else:
+            assert name == "ASSERT", name
+    return out
+
+
+def test_every_match_passes_gate_and_keyword():
+    r = random.Random(4)
+    for label, _, keyword, pattern in rules():
+        tree = re._parser.parse(pattern)
+        for _ in range(60):
+            text = f" {some_match(tree, r)} "
+            assert re.search(pattern, text), (label, text)
+            assert keyword in text and any(g in text for g in GATE), (label, keyword, text)
+
+
+def test_names_and_identifiers_without_another_gate_word(spark):
+    texts = ["Distributed as BSD-3-Clause.", "MPL-2.0", "GFDL 1.3", "Open Database License", "Academic Free License 3.0",
+             "Open Software License 3.0", "Open Data Commons Attribution License", "Under the GPL."]
+    got = {x.doc_id: x for x in scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = ["bsd-3", "mpl-2", "gfdl-1.3", "odbl-1", "afl-3", "osl-3", "odc-by-1", "gpl"]
+    assert [label in str(got[i]) for i, label in enumerate(want)] == [True] * len(want), got
