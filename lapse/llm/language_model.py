@@ -12,7 +12,7 @@ which a token has its share of the corpus counts.
 
 The network is trained in numpy inside the tasks.  In each of ``ROUNDS`` rounds
 every task trains on its own documents of that round's ``1 / SHARE`` slice of
-the corpus (the slice grows with the corpus), and the tasks' weights are
+the corpus, all slices in turn, so that every text is trained on once, and the tasks' weights are
 averaged by token count in an aggregation; the driver sees the averaged
 weights only.  A task whose slice is empty takes no part.
 
@@ -40,8 +40,9 @@ OWN = 192
 WINDOW = 2
 EMBED = 16
 HIDDEN = 32
-ROUNDS = 2
-SHARE = 24
+#: Rounds, each on a slice of its own; together they cover every text.
+SHARE = 4
+ROUNDS = SHARE
 _EDGE = CLASSES - 1  # the class that stands beyond either end of a text
 _SHAPES = {"embed": (CLASSES, EMBED), "inner": (2 * WINDOW * EMBED, HIDDEN), "shift": (HIDDEN,),
            "outer": (HIDDEN, CLASSES), "bias": (CLASSES,)}

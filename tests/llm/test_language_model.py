@@ -57,3 +57,10 @@ def test_odd_rows(odd, empty):
     assert all((r.n_tokens, r.log_prob, r.mean_log_prob) == (0, 0.0, None) for r in got if r.doc_id in (2, 3, 4))
     assert all(r.mean_log_prob < 0 for r in got if r.n_tokens)
     assert LM.scores(empty).count() == 0
+
+
+def test_every_text_is_trained_on(spark):
+    for i in range(3):
+        docs = spark.createDataFrame([(i, f"a table of one text, number {i}, which is all there is")], "doc_id long, text string")
+        p, vocabulary = LM.fit(docs)
+        assert any((p[k] != x).any() for k, x in LM.start(vocabulary).items())
