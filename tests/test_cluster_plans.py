@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from fixture_paths import SF_MID
 from lapse.operators.prepare import fit_scaler
 from lapse.operators.slots import slot_features
 from lapse.operators.sample import filter_raw

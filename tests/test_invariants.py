@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from fixture_paths import SF_MID
 from lapse.operators import labels as L
 from lapse.operators import prepare as P
 from lapse.operators.steps import add_running_sums

@@ -4,7 +4,7 @@ import sys
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 
 sys.path.insert(0, ".")
 import tools_check  # noqa: E402

@@ -5,7 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from fixture_paths import SF_MID
 from lapse.conf import resolve
 from lapse.plans.datasets import build_datasets, export_splits, fixture_sources
 from lapse.plans.evaluation import evaluate

@@ -4,7 +4,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 from lapse.plans.queries import Ctx
 from lapse.schema import SECS_COLS
 from lapse.streaming.slots import slot_stats_stream
