@@ -23,7 +23,7 @@ def test_stages_act_on_what_is_left(spark, documents, tmp_path):
     before, after = left["quality"]
     assert ids(after) == sorted(r.doc_id for r in quality_scores(before, labels).collect() if r.predicted == 1)
     before, after = left["near_dedup"]
-    assert ids(after) == sorted(r.doc_id for r in near_duplicates(before).collect() if r.kept)
+    assert ids(after) == sorted(r.doc_id for r in near_duplicates(before, share=corpus_pipeline.SHARE).collect() if r.kept)
     before, after = left["substring_dedup"]
     text = {r.doc_id: r.text for r in before.collect()}
     new = {r.doc_id: r.text for r in after.collect()}
