@@ -10,6 +10,7 @@ from lapse.llm.decontamination import contaminated
 from lapse.llm.fingerprints import fingerprints
 from lapse.llm.language_model import scores
 from lapse.llm.licenses import scan
+from lapse.llm.merkle import every_third, manifest
 from lapse.llm.near_dedup import near_duplicates
 from lapse.llm.packing import VOCABULARY, pack
 from lapse.llm.paragraph_dedup import repeated_passages
@@ -58,9 +59,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"), every_third()).drop("path")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup, op2_passages, op3_quality, op4_sharding, op5_fingerprints, op6_repeated_strings,
-    op7_decontamination, op8_licenses, op9_lm_scores, op10_packing)}
+    op7_decontamination, op8_licenses, op9_lm_scores, op10_packing, op13_merkle)}
 
 #: Links between all documents that share a shingle, by their full sets, and
 #: the smallest document reachable over them.
@@ -105,6 +110,65 @@ SELECT d.doc_id, CAST(length(d.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(t.re
        CAST(coalesce(t.spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.hx, d.x))) AS kept_sha256
 FROM d LEFT JOIN t ON t.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id"""
 
+#: Leaves numbered per language, levels by recursion, siblings of every node on
+#: the way up, and the root folded again; CRC-32 bit by bit.
+_MERKLE = r"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang, text, coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+      || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+      || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+          lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda crc, c: list_reduce(list_prepend(xor(crc, c), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+          lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, CAST(3988292384 AS BIGINT)) ELSE x // 2 END)),
+        CAST(4294967295 AS BIGINT)) AS crc FROM documents),
+h AS (SELECT doc_id, lang, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+        CASE WHEN crc % 3 = 0 THEN sha256(head || coalesce(octet_length(encode(low)) || ':' || low, '-')) END AS changed FROM f),
+leaf AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS place FROM h),
+n AS (
+  SELECT lang, 0 AS level, place, leaf AS digest FROM leaf
+  UNION ALL
+  SELECT lang, level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place))
+  FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS nodes FROM n) WHERE nodes > 1 GROUP BY lang, level, place // 8),
+sub AS (SELECT lang, level AS top, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+        FROM (SELECT *, max(level) OVER (PARTITION BY lang) AS top FROM n) WHERE level = top),
+m AS (
+  SELECT 0 AS level, place, digest FROM sub
+  UNION ALL
+  SELECT level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place))
+  FROM (SELECT *, count(*) OVER () AS nodes FROM m) WHERE nodes > 1 GROUP BY level, place // 8),
+root AS (SELECT digest FROM m WHERE level = (SELECT max(level) FROM m)),
+s AS (
+  SELECT lang, level, place, coalesce(string_agg(digest, '' ORDER BY place) OVER (
+      PARTITION BY lang, level, place // 8 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(digest, '' ORDER BY place) OVER (
+      PARTITION BY lang, level, place // 8 ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM n),
+t AS (
+  SELECT level, place, coalesce(string_agg(digest, '' ORDER BY place) OVER (
+      PARTITION BY level, place // 8 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(digest, '' ORDER BY place) OVER (
+      PARTITION BY level, place // 8 ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM m),
+step AS (
+  SELECT leaf.lang, leaf.place, s.level, s.l, s.r FROM leaf JOIN sub ON leaf.lang IS NOT DISTINCT FROM sub.lang
+    JOIN s ON s.lang IS NOT DISTINCT FROM leaf.lang AND s.level < sub.top AND s.place = leaf.place >> CAST(3 * s.level AS INT)
+  UNION ALL
+  SELECT leaf.lang, leaf.place, sub.top + t.level, t.l, t.r FROM leaf JOIN sub ON leaf.lang IS NOT DISTINCT FROM sub.lang
+    JOIN t ON t.level < (SELECT max(level) FROM m) AND t.place = sub.place >> CAST(3 * t.level AS INT)),
+fold AS (
+  SELECT lang, place, 0 AS level, coalesce(changed, leaf) AS digest FROM leaf
+  UNION ALL
+  SELECT fold.lang, fold.place, fold.level + 1, sha256(step.l || fold.digest || step.r) FROM fold JOIN step
+    ON fold.lang IS NOT DISTINCT FROM step.lang AND fold.place = step.place AND fold.level = step.level),
+done AS (SELECT lang, place, arg_max(digest, level) AS digest FROM fold GROUP BY lang, place),
+proof AS (SELECT lang, place, sha256(string_agg(l || r, '' ORDER BY level)) AS digest FROM step GROUP BY lang, place)
+SELECT leaf.doc_id, leaf.leaf, sub.digest AS subroot, root.digest AS root, coalesce(proof.digest, sha256('')) AS proof_sha256,
+       done.digest AS folded_root, done.digest = root.digest AS verified
+FROM leaf JOIN root ON true JOIN sub ON leaf.lang IS NOT DISTINCT FROM sub.lang
+  JOIN done ON done.lang IS NOT DISTINCT FROM leaf.lang AND done.place = leaf.place
+  LEFT JOIN proof ON proof.lang IS NOT DISTINCT FROM leaf.lang AND proof.place = leaf.place"""
+
 #: The other operators have no SQL (models, tokenizers, hashes of their own) or
 #: none that ends on whole tables; tests compare them with brute force.
-ORACLE_SQL: dict[str, str] = {"op1_near_dedup": _NEAR_DEDUP, "op6_repeated_strings": _REPEATED_STRINGS}
+ORACLE_SQL: dict[str, str] = {"op1_near_dedup": _NEAR_DEDUP, "op6_repeated_strings": _REPEATED_STRINGS,
+                              "op13_merkle": _MERKLE}
