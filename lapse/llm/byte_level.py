@@ -2,11 +2,10 @@
 
 The tokenizer splits a text by a fixed pattern and merges inside the splits
 only, so the ids of a split do not depend on what surrounds it.  The splits
-of a batch are found with numpy, every distinct new split is encoded by the
+of a batch are found with numpy, every distinct new split is merged by the
 tokenizer library once, and the ids of a text are gathered from remembered
-ones.  Splits are remembered by a 64-bit hash of their bytes.  Texts with
-characters from U+0240 on, and texts that hold the text of a special token,
-go through the library whole.
+ones (:mod:`split_cache`).  Texts with characters from U+0240 on, and texts
+that hold the text of a special token, go through the library whole.
 """
 
 from __future__ import annotations
@@ -17,10 +16,8 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-from lapse.llm import words as W
+from lapse.llm.split_cache import SplitCache
 
-#: Splits a worker remembers before it starts anew (memory bound only).
-REMEMBERED = 300_000
 _LETTER, _NUMBER, _SPACE, _OTHER = range(4)
 _ODD_LEAD = 0xC9  # first byte of U+0240 and above
 
@@ -34,7 +31,20 @@ def _classes() -> np.ndarray:
 
 
 _CLASS = _classes()
-_HASH = np.random.default_rng(99).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def alphabet() -> list[str]:
+    """The character that stands for each byte in the entries of the
+    vocabulary: printable ones for themselves, the others from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    out, n = [], 0
+    for b in range(256):
+        out.append(chr(b if b in plain else 0x100 + n))
+        n += b not in plain
+    return out
+
+
+_SIGNS = dict(enumerate(alphabet()))
 
 
 def split(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -81,86 +91,59 @@ def split(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._forget()
+    """``plain`` encodes the strings of special tokens as any other text."""
 
-    def _forget(self) -> None:
-        self.index: dict[int, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.at = np.zeros((1 << 16) + 1, np.int64)
+    def __init__(self, path: str, plain: bool = False):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
+        self.special = [] if plain else [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        model = self.tokenizer.model
+        self.splits = SplitCache(lambda spans: (
+            [t.id for t in model.tokenize(s.decode("latin-1").translate(_SIGNS))] for s in spans))
 
     def whole(self, batch: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
-        for i in range(0, len(batch), 4096):  # the library's results are large
-            found = self.tokenizer.encode_batch(batch[i:i + 4096], add_special_tokens=False)
+        for i in range(0, len(batch), 256):  # the library's results are large
+            found = self.tokenizer.encode_batch(batch[i:i + 256], add_special_tokens=False)
             out += [np.asarray(e.ids, np.uint32) for e in found]
         return out
 
-    def _learn(self, hashes: list[int], spans: list[bytes]) -> None:
-        new = self.whole([s.decode() for s in spans])
-        count, used = len(self.index), int(self.at[len(self.index)])
-        sizes = np.array([len(x) for x in new])
-        while used + sizes.sum() > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while count + len(new) >= len(self.at):
-            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-        self.ids[used:used + sizes.sum()] = np.concatenate(new)
-        self.at[count + 1:count + 1 + len(new)] = used + np.cumsum(sizes)
-        self.index.update(zip(hashes, range(count, count + len(new))))
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-        """The ids of every text of a batch of UTF-8 texts."""
+    def tokens(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a batch of UTF-8 texts, one after the other, and where
+        each text's begin (and the last one's end)."""
         n = len(offsets) - 1
-        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * n
         foreign = np.concatenate([[0], np.cumsum(data >= _ODD_LEAD)])
         odd = foreign[offsets[1:]] > foreign[offsets[:-1]]
-        raw = data.tobytes()
+        raw = data.tobytes() if self.special or odd.any() else b""
         for mark in self.special:
             p = raw.find(mark)
             while p >= 0:
                 odd[np.searchsorted(offsets, p, "right") - 1] = True
                 p = raw.find(mark, p + 1)
         strange = np.flatnonzero(odd)
-        for i, ids in zip(strange, self.whole([raw[offsets[i]:offsets[i + 1]].decode() for i in strange])):
-            out[i] = ids
-        plain = ~np.repeat(odd, np.diff(offsets))
-        if not plain.all():
-            sizes = np.where(odd, 0, np.diff(offsets))
-            data, offsets = data[plain], np.concatenate([[0], np.cumsum(sizes)])
-            raw = data.tobytes()
-        if not len(data):
-            return out
-        if len(self.index) > REMEMBERED:
-            self._forget()
-        start = split(data, offsets)
-        end = np.append(start[1:], len(data))
-        power, inverse = W._powers(len(data) + 1)
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_HASH[data] * power[:len(data)], out=total[1:])
-        key = W.mix((total[end] - total[start]) * inverse[start])
-        distinct, where, inverse_of = np.unique(key, return_index=True, return_inverse=True)
-        known = self.index
-        names = distinct.tolist()
-        place = [known.get(k, -1) for k in names]
-        new = [i for i, p in enumerate(place) if p < 0]
-        if new:
-            spot = where[new]
-            self._learn([names[i] for i in new], [raw[a:b] for a, b in zip(start[spot].tolist(), end[spot].tolist())])
-            for i in new:
-                place[i] = known[names[i]]
-        place = np.asarray(place)[inverse_of]
-        sizes = self.at[place + 1] - self.at[place]
-        to = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.ids[np.repeat(self.at[place] - to[:-1], sizes) + np.arange(to[-1])]
-        bound = to[np.searchsorted(start, offsets)]
-        for i in np.flatnonzero(~odd):
-            out[i] = ids[bound[i]:bound[i + 1]]
-        return out
+        parts = self.whole([raw[offsets[i]:offsets[i + 1]].decode(errors="replace") for i in strange])
+        if len(strange):
+            data = data[~np.repeat(odd, np.diff(offsets))]
+            offsets = np.concatenate([[0], np.cumsum(np.where(odd, 0, np.diff(offsets)))])
+        ids, bound = np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
+        if len(data):
+            start = split(data, offsets)
+            ids, sizes = self.splits.find(data, start, np.append(start[1:], len(data)))
+            bound = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(start, offsets)]
+        if not len(strange):
+            return ids, bound
+        rows = [ids[a:b] for a, b in zip(bound[:-1], bound[1:])]
+        for i, own in zip(strange, parts):
+            rows[i] = own
+        return np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """The ids of every text of a batch of UTF-8 texts."""
+        ids, bound = self.tokens(data, offsets)
+        return [ids[a:b] for a, b in zip(bound[:-1], bound[1:])]
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """One encoder a worker process, with what it remembers."""
-    return Encoder(path)
+    return Encoder(path, plain)

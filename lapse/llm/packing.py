@@ -29,37 +29,51 @@ LENGTH = 1024
 VOCABULARY = "byte_bpe_50k.json"
 
 
-def pieces(n: int, length: int) -> list[tuple[int, int]]:
-    """(start, length) of the pieces of ``n`` tokens, longest first."""
-    out = [(i * length, length) for i in range(n // length)]
-    at, size = n // length * length, length // 2
-    while size:
-        if n & size:
-            out.append((at, size))
-            at += size
-        size //= 2
-    return out
+def pieces(n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, start, length) of the pieces of documents of ``n`` tokens, in
+    the documents' order, the longest of a document first."""
+    full = n // length
+    doc = [np.repeat(np.arange(len(n)), full)]
+    start = [(np.arange(len(doc[0])) - np.repeat(np.cumsum(full) - full, full)) * length]
+    size = [np.full(len(doc[0]), length)]
+    for bit in range(length.bit_length() - 1):
+        own = np.flatnonzero(n >> bit & 1)
+        doc.append(own)
+        start.append(n[own] >> (bit + 1) << (bit + 1))
+        size.append(np.full(len(own), 1 << bit))
+    doc, start, size = (np.concatenate(x) for x in (doc, start, size))
+    order = np.lexsort((start, doc))
+    return doc[order], start[order], size[order]
+
+
+def closed(data: np.ndarray, offsets: np.ndarray, path: str, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a batch of texts, each document closed by the id ``end``, and
+    where each document's begin."""
+    ids, bound = encoder(path).tokens(data, offsets)
+    return np.insert(ids, bound[1:], end).astype("<u4"), bound + np.arange(len(bound))
+
+
+def checksums(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[int]:
+    """CRC-32 of runs of ids, as little-endian unsigned 32-bit numbers."""
+    code = memoryview(ids.tobytes())
+    return [zlib.crc32(code[a:b]) for a, b in zip((4 * start).tolist(), (4 * (start + size)).tolist())]
 
 
 def _pieces_of(path: str, length: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
-        types = [pa.int64()] * 5 + [pa.list_(pa.int32())] * with_ids
-        tokens = encoder(path)
         for batch in batches:
-            docs = batch.column(0).to_pylist()
             data, off = W.raw(batch.column(1))
             for a, b in W.blocks(off):
-                rows = [[] for _ in names]
-                for doc, ids in zip(docs[a:b], tokens.encode(data[off[a]:off[b]], off[a:b + 1] - off[a])):
-                    code = ids.astype("<u4").tobytes() + b"\0\0\0\0"
-                    n = len(code) // 4
-                    for start, size in pieces(n, length):
-                        own = code[4 * start:4 * (start + size)]
-                        values = (doc, start, size, zlib.crc32(own), n)
-                        for r, v in zip(rows, values + ((np.frombuffer(own, "<i4"),) if with_ids else ())):
-                            r.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, types)], names=names)
+                ids, first = closed(data[off[a]:off[b]], off[a:b + 1] - off[a], path, 0)
+                count = np.diff(first)
+                doc, start, size = pieces(count, length)
+                at = first[doc] + start
+                out = [batch.column(0).slice(a, b - a).take(pa.array(doc)), pa.array(start), pa.array(size),
+                       pa.array(checksums(ids, at, size), pa.int64()), pa.array(count[doc])]
+                if with_ids:  # the pieces tile the ids
+                    out.append(W.list_column(ids.astype(np.int32), np.append(at, len(ids))))
+                yield pa.RecordBatch.from_arrays(out, names=names)
 
     return run
 

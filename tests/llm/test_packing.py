@@ -57,9 +57,18 @@ def test_encoder_equals_the_library(tokenizer):
 
 
 def test_pieces():
-    for n in (1, 2, 1023, 1024, 1025, 5000):
-        p = pieces(n, 1024)
-        assert sum(x for _, x in p) == n and [s for s, _ in p] == [sum(x for _, x in p[:i]) for i in range(len(p))]
+    n = np.array([1, 2, 1023, 1024, 1025, 5000])
+    doc, start, size = pieces(n, 1024)
+    for d, total in enumerate(n):
+        s, x = start[doc == d], size[doc == d]
+        assert x.sum() == total and s.tolist() == [x[:i].sum() for i in range(len(x))]
+        assert all(v & (v - 1) == 0 for v in x.tolist()) and (np.diff(x) <= 0).all() and x.max() <= 1024
+    assert len(doc) == 1 + 1 + 10 + 1 + 2 + 4 + bin(5000 % 1024).count("1")
+
+
+def test_ids_of_the_pieces(documents, tokenizer):
+    for r in pack(documents.limit(50), PATH, with_ids=True).collect():
+        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length
 
 
 def test_odd_rows(odd, empty, tokenizer):
