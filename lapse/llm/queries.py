@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapse.llm import best_fit
+from lapse.llm import alignment, best_fit
 from lapse.llm.common import table
 from lapse.llm.decontamination import contaminated
 from lapse.llm.fingerprints import fingerprints
@@ -60,6 +60,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf_dir, "documents"), public_tokenizers.path(alignment.A_MODEL),
+                                public_tokenizers.path(alignment.B_MODEL))
+
+
 def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -70,7 +75,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup, op2_passages, op3_quality, op4_sharding, op5_fingerprints, op6_repeated_strings,
-    op7_decontamination, op8_licenses, op9_lm_scores, op10_packing, op12_best_fit, op13_merkle)}
+    op7_decontamination, op8_licenses, op9_lm_scores, op10_packing, op11_alignment, op12_best_fit, op13_merkle)}
 
 #: Links between all documents that share a shingle, by their full sets, and
 #: the smallest document reachable over them.
