@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job here expects.  Times are computed in UTC
 # without relying on the session zone, but the zone is pinned for output.
@@ -67,18 +70,62 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "stages", name)
 
 
-def materialize(df, name: str | None = None):
+def unique_name(spark: SparkSession) -> str:
+    """A name for a stage of this application that no other stage has."""
+    return f"{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+#: Paths of the stages written inside the open ``stages`` scopes, innermost last.
+_scopes: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scopes", default=())
+
+
+def register(path: str) -> None:
+    """Note a stage's path, for its removal when the innermost scope ends."""
+    scopes = _scopes.get()
+    if scopes:
+        scopes[-1].append(path)
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove stages that nothing reads any more."""
+    for p in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def stages(spark: SparkSession):
+    """A scope whose stages go when it ends, also by an error: what is computed
+    inside must be written (or collected) inside.  Yields the list of paths."""
+    own: list[str] = []
+    token = _scopes.set((*_scopes.get(), own))
+    try:
+        yield own
+    finally:
+        _scopes.reset(token)
+        discard(spark, *own)
+
+
+def keep(df: DataFrame, path: str) -> DataFrame:
+    """Write a result where it is to stay and read it back: the last thing to
+    do inside a ``stages`` scope."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     """Cut the lineage of a frame that several jobs reuse: write it as
     parquet under the shared checkpoint folder and read it back (one job;
     survives executor loss, unlike a local checkpoint)."""
-    import uuid
-    path = stage_path(df.sparkSession, name or f"{df.sparkSession.sparkContext.applicationId}/{uuid.uuid4().hex}")
+    path = stage_path(df.sparkSession, name or unique_name(df.sparkSession))
     df.write.mode("overwrite").parquet(path)
+    if name is None:
+        register(path)
     return df.sparkSession.read.parquet(path)
 
 
 def drop_stages(spark: SparkSession) -> bool:
-    """Remove the unnamed stages this application has written.  Call it when
+    """Remove all unnamed stages this application has written.  Call it when
     no frame that reads them is needed any more (results are written)."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_path(spark, spark.sparkContext.applicationId))
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
