@@ -30,6 +30,7 @@ from lapse.operators.slots import slot_features, top_combination
 from lapse.operators.steps import add_iat, add_running_sums, rewindow
 from lapse.operators.ranking import with_positions
 from lapse.plans import oracle as O
+from lapse.plans.model_oracle import gnb_sql
 from lapse.schema import MODEL_FEATURES, PARSED_COLS, SUM_COLS
 from lapse.session import checkpoint_dir, configure, materialize
 from lapse.sources.fixtures import load_fixture
@@ -701,6 +702,8 @@ def oracle_sql() -> dict[str, str]:
     sq["score_five_number"] = O.with_sql(_preds_ctes(), "SELECT label, " + ", ".join(
         O.rnd(f"quantile_cont(score, {q})") + f" AS {n}" for n, q in
         (("min", 0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("max", 1))) + " FROM preds GROUP BY label")
+    s_lab = settings(LABELLED)
+    sq["gnb_nested_cv"] = gnb_sql(_ctes(LABELLED, "normed") + _fold_ctes()[-2:], s_lab.classbalance, SEED)
     return sq
 
 
