@@ -12,10 +12,10 @@ a threshold is its own running total minus its own counts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapse.operators.ranking import running_totals, with_positions
+from lapse.operators.ranking import running_totals
 
 
 def for_class(preds: DataFrame, cls: int) -> DataFrame:
@@ -143,16 +143,17 @@ def class_share(preds: DataFrame, keys: list[str] = ()) -> DataFrame:
 
 
 def head_k(preds: DataFrame, k: int, keys: list[str] = (), by: str = "row_id") -> DataFrame:
-    """First ``k`` predictions of every group: by input position
-    (``row_id``, as the original) or by descending score (``by="score"``).
-    Positions come from written range partitions, not a single-task window."""
-    keys = list(keys)
-    if by == "score":
-        order = [F.col("score").desc(), F.col("row_id")]
-    else:
-        order = [F.col("row_id")]
-    ranked = with_positions(preds, keys, order, name="_pos")
-    return ranked.where(F.col("_pos") < k).drop("_pos")
+    """First ``k`` predictions of every group: by input position (``row_id``,
+    numbered from 0 in every group, as the original) or by descending score
+    (``by="score"``).  Positions are a filter; scores are cut to ``k`` rows a
+    group in every task before the groups meet."""
+    if by != "score":
+        return preds.where(F.col("row_id") < k)
+    order = [F.col("score").desc(), F.col("row_id")]
+    if not keys:
+        return preds.orderBy(*order).limit(k)
+    own = Window.partitionBy(*keys).orderBy(*order)
+    return preds.withColumn("_pos", F.row_number().over(own)).where(F.col("_pos") <= k).drop("_pos")
 
 
 def summary(preds: DataFrame, keys: list[str] = ()) -> DataFrame:
@@ -173,10 +174,33 @@ def series(summary_df: DataFrame, metric: str, x: str, keys: list[str] = ()) ->
     return summary_df.select(*keys, x, "label", F.col(metric).alias("value")).orderBy(*keys, "label", x)
 
 
+def quantiles(df: DataFrame, col: str, probabilities: dict[str, float], keys: list[str] = ()) -> DataFrame:
+    """Exact quantiles of a column per group, interpolated between neighbours,
+    as columns named by ``probabilities``; null values do not count.
+
+    Selection by rank: equal values are counted together, running totals over
+    written range buckets give every value the positions it covers, and the
+    value at a position is picked by an aggregate.  No task holds a group's
+    values, however many there are."""
+    keys = list(keys)
+    counted = df.groupBy(*keys, F.col(col).cast("double").alias("_v")).agg(
+        F.sum(F.when(F.col(col).isNull(), 0).otherwise(1)).cast("bigint").alias("_n"))
+    ranked = running_totals(counted, keys, [F.col("_v").asc_nulls_first()], ["_n"], totals="_all")
+    before = F.col("cum__n") - F.col("_n")
+    out = {}
+    for name, p in probabilities.items():
+        at = (F.col("_all_n") - 1) * F.lit(float(p))
+
+        def value(position, at=at):
+            return F.max(F.when((before <= position) & (position < F.col("cum__n")), F.col("_v")))
+
+        low, high = F.floor(at), F.ceil(at)
+        out[name] = F.when(F.max(high) == F.max(low), value(low)).otherwise(
+            (F.max(high) - F.max(at)) * value(low) + (F.max(at) - F.max(low)) * value(high))
+    return ranked.groupBy(*keys).agg(*[c.alias(n) for n, c in out.items()])
+
+
 def five_number(df: DataFrame, col: str, keys: list[str] = ()) -> DataFrame:
     """Exact min, quartiles, median and max of a column per group (box-plot
     input, e.g. ``mean_test_score`` of the searches; E9)."""
-    c = F.col(col)
-    return df.groupBy(*keys).agg(
-        F.min(c).alias("min"), F.percentile(c, 0.25).alias("q1"), F.percentile(c, 0.5).alias("median"),
-        F.percentile(c, 0.75).alias("q3"), F.max(c).alias("max"))
+    return quantiles(df, col, {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}, keys)

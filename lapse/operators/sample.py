@@ -86,7 +86,9 @@ def filter_raw(plays: DataFrame, contexts: DataFrame, users: DataFrame, s: Setti
     ``ms_played > 0`` and a non-search context (I3: B7, B8, C1, C4)."""
     w = s.windows
     dates = w.raw_dates()
-    ids = users.select("user_id")
+    # all ids that can match; as a filter it lets the planner build a Bloom
+    # filter from the ids where they are too many to be broadcast
+    ids = users.select("user_id").where(F.col("user_id") >= "")
     p = read_days(plays, min(dates), max(dates)).where(F.col("ms_played") > 0)
     p = p.join(ids, "user_id", "left_semi")
     c = drop_search(read_days(contexts, min(dates), max(dates))).join(ids, "user_id", "left_semi")

@@ -32,7 +32,7 @@ from lapse.operators.ranking import with_positions
 from lapse.plans import oracle as O
 from lapse.plans.model_oracle import gnb_sql
 from lapse.schema import MODEL_FEATURES, PARSED_COLS, SUM_COLS
-from lapse.session import checkpoint_dir, configure, materialize
+from lapse.session import checkpoint_dir, configure, materialize, register
 from lapse.sources.fixtures import load_fixture
 from lapse.sources.io import (export_json, read_cv_results, read_examples, read_metrics, read_runs,
                               write_run)
@@ -396,13 +396,14 @@ def _written_runs(spark, sf) -> str:
     """Two written runs of one experiment: the baseline scores and their squares."""
     preds = _preds(spark, sf)
     root = os.path.join(checkpoint_dir(spark), "runs", uuid.uuid4().hex)
+    register(root)
     for model, score in (("plain", F.col("score")), ("square", F.col("score") * F.col("score"))):
         scored = preds.withColumn("score", score)
         r = M.accuracy(scored).first()
         cv = spark.createDataFrame([(0, "{}", float(r["accuracy"]), 1)],
                                    "setting int, params string, mean_test_score double, rank_test_score int")
-        write_run(scored, cv, {"accuracy": float(r["accuracy"]), "n": float(r["n"])},
-                  os.path.join(root, "fixture_labelled", LABELLED, model))
+        write_run(scored, cv, {"accuracy": float(r["accuracy"]), "n": float(r["n"])}, root, "fixture_labelled",
+                  LABELLED, model)
     return root
 
 
@@ -420,6 +421,12 @@ def q_run_metrics_read(spark, sf):
     return rounded(m.join(cv, "model"))
 
 
+def q_run_class_scores(spark, sf):
+    """One model's written predictions of one class."""
+    runs = read_runs(spark, _written_runs(spark, sf), "fixture_labelled", LABELLED, "square")
+    return rounded(runs.where(F.col("label") == 1).select("experiment", "dataset", "model", "user_id", "score", "row_id"))
+
+
 def q_scored_summary(spark, sf):
     return rounded(M.summary(_preds(spark, sf)))
 
@@ -694,6 +701,9 @@ def oracle_sql() -> dict[str, str]:
                             "END AS score, row_id FROM preds, (VALUES ('plain'), ('square')) m(model))"]
     sq["run_head_k"] = O.with_sql(runs, f"SELECT model, '{LABELLED}' AS dataset, user_id, label, {O.rnd('score')} AS score, "
                                         "row_id FROM runs WHERE row_id < 20")
+    sq["run_class_scores"] = O.with_sql(runs, f"SELECT 'fixture_labelled' AS experiment, '{LABELLED}' AS dataset, model, "
+                                              f"user_id, {O.rnd('score')} AS score, row_id FROM runs "
+                                              "WHERE model = 'square' AND label = 1")
     acc = O.rnd("AVG(CASE WHEN (CASE WHEN score > 0.5 THEN 1 ELSE 0 END) = label THEN 1.0 ELSE 0.0 END)")
     sq["run_metrics_read"] = O.with_sql(runs, f"SELECT model, {acc} AS accuracy, CAST(COUNT(*) AS DOUBLE) AS n, "
                                               f"{acc} AS mean_test_score FROM runs GROUP BY model")

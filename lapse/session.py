@@ -132,13 +132,17 @@ def drop_stages(spark: SparkSession) -> bool:
     return bool(fs.exists(folder) and fs.delete(folder, True))
 
 
-def cluster_conf(total_cores: int, shuffle_bytes: float) -> dict:
+def cluster_conf(total_cores: int, shuffle_bytes: float, sampled_ids: int = 0) -> dict:
     """Suggested settings for a large cluster (set them at submit time).
 
     ``shuffle_bytes`` is the expected size of the largest shuffle (for the
     slot features: the projected play rows of the whole pull).  Initial
     shuffle partitions are sized to ~256 MB each and at least 3 per core;
     AQE then coalesces small ones and splits skewed join partitions.
+
+    ``sampled_ids`` (the row count of the staged sample) sizes the Bloom
+    filter that drops other users' plays before their shuffle where the ids
+    are too many to be broadcast: 10 bits an id keep out 99 % of the others.
     """
     target = 256 * 1024 * 1024
     parts = max(3 * total_cores, int(shuffle_bytes // target) + 1)
@@ -157,4 +161,22 @@ def cluster_conf(total_cores: int, shuffle_bytes: float) -> dict:
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
         "spark.sql.session.timeZone": "UTC",
+        **bloom_conf(sampled_ids),
+    }
+
+
+BLOOM_BITS = 10  # for each id
+_MOST_BITS = 1 << 27  # 16 MB: the filter travels with every task
+
+
+def bloom_conf(sampled_ids: int) -> dict:
+    """Settings of the runtime Bloom filter for a semi join with so many ids."""
+    bits = min(max(BLOOM_BITS * sampled_ids, 1 << 23), _MOST_BITS)
+    return {
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "8g",
+        "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": str(max(sampled_ids, 1_000_000)),
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": str(max(sampled_ids, 4_000_000)),
+        "spark.sql.optimizer.runtime.bloomFilter.numBits": str(bits),
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(max(bits, 1 << 26)),
     }

@@ -10,7 +10,7 @@ from lapse.conf import resolve
 from lapse.plans.datasets import build_datasets, export_splits, fixture_sources
 from lapse.plans.evaluation import evaluate
 from lapse.plans.training import train_run
-from lapse.sources.io import read_cv_results, read_examples, read_metrics
+from lapse.sources.io import read_cv_results, read_examples, read_metrics, run_folder
 
 
 @pytest.fixture(scope="module")
@@ -47,7 +47,7 @@ def test_train_and_evaluate(spark, datasets):
         preds, cv, metrics = train_run(ds.arrays, model, s, grid=grid, out=root)
         assert preds.count() == ds.arrays.count()
         assert 0 <= metrics["roc_auc"] <= 1
-    assert os.path.isdir(os.path.join(root, "fixture_labelled", "26_1d", "rf", "predictions"))
+    assert os.path.isdir(run_folder(root, "predictions", "fixture_labelled", "26_1d", "rf"))
     tables = evaluate(spark, root, "fixture_labelled", "roc")
     summ = tables["summary"].collect()
     assert {(r["model"], r["label"]) for r in summ} == {(m, l) for m in ("rf", "lr") for l in ("Churned", "Retained")}
