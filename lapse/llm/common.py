@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lapse.session import checkpoint_dir
+from lapse.session import checkpoint_dir, register
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     the lineage is cut and any executor can reread the files."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    register(path)
     before = {k: spark.conf.get(k) for k in _WRITING}
     try:
         for k, v in _WRITING.items():

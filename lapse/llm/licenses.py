@@ -26,6 +26,7 @@ from lapse.llm.native import before, let
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 WEIGHTS = {1: 0.5, 2: 0.8, 3: 0.95}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def _spaces(c: Column) -> Column:
@@ -75,7 +76,7 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE) -> DataFrame:
     score, detections``; detections are spans of the normalised text (character
     offsets) that suppression left."""
     own = texts(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = own.select("doc_id", F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower("text"), SEPARATORS, " ")),
+    own = own.select("doc_id", F.concat(F.lit(" "), F.trim(F.regexp_replace(F.translate("text", _UPPER, _UPPER.lower()), SEPARATORS, " ")),
                                         F.lit(" ")).alias("norm"))
     norm = F.col("norm")
     own = own.withColumn("n_words", F.when(norm == "  ", 0).otherwise(_spaces(norm) - 1).cast("long"))

@@ -18,6 +18,8 @@ doc_ids are placed like any other; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from bisect import bisect_right
 
 from pyspark.sql import DataFrame
@@ -73,12 +75,32 @@ def _least(runs: list[tuple[int, int, int]], shards: int) -> tuple[int, list[int
 
 
 def bounds(groups: DataFrame, shards: int = SHARDS, fanout: int = FANOUT) -> list[int]:
-    """First digests of the shards after the first, for ``groups(digest, bytes)``.
+    """First digests of the shards after the first, for ``groups(digest, bytes)``."""
+
+    def sums(spans: list[tuple[int, int]], width: int) -> list[tuple[int, int, int, int]]:
+        split = groups
+        if len(spans) > 1 or spans[0][1] < 1 << DIGEST_BITS:
+            inside = None
+            for first, wide in spans:
+                c = F.col("digest").between(first, first + wide - 1)
+                inside = c if inside is None else inside | c
+            split = groups.where(inside)
+        split = split.groupBy(F.expr(f"digest div {width}L").alias("part")).agg(
+            F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n"), F.min("digest").alias("first"))
+        return [(r["part"], r["bytes"], r["n"], r["first"]) for r in split.collect()]
+
+    return search(sums, shards, fanout)
+
+
+def search(sums: Callable, shards: int, fanout: int) -> list[int]:
+    """The cuts, from ``sums(spans, width)``: (part, bytes, groups, smallest
+    digest) of every part of that width inside the spans.
 
     ``runs`` always covers the whole order: (first digest, width, bytes).  A
-    run of one group or one digest is atomic; the optimum lies between the
-    capacity that treats wide runs as freely divisible and the one that
-    treats them as atomic, so cuts can only fall between the two walks' cuts.
+    run of one group or one digest is atomic.  Treating wide runs as atomic
+    gives a capacity that is surely feasible, treating them as divisible
+    anywhere one that no partition can beat; runs in which no cut for a
+    capacity between the two can lie need not be split further.
     """
     spans = [(0, 1 << DIGEST_BITS)]
     runs: list[tuple[int, int, int, int]] = []  # first digest, width, bytes, groups
@@ -86,43 +108,61 @@ def bounds(groups: DataFrame, shards: int = SHARDS, fanout: int = FANOUT) -> lis
         parts = max(2, fanout // len(spans))
         bits = max(0, (spans[0][1] - 1).bit_length() - (parts.bit_length() - 1))
         width = 1 << bits
-        inside = None
-        for first, wide in spans:
-            c = F.col("digest").between(first, first + wide - 1)
-            inside = c if inside is None else inside | c
-        split = (groups.where(inside) if len(spans) > 1 or spans[0][1] < 1 << DIGEST_BITS else groups)
-        split = split.groupBy(F.expr(f"digest div {width}L").alias("part")).agg(
-            F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n"), F.min("digest").alias("first"))
-        found = [(r["first"] if r["n"] == 1 else r["part"] * width, 1 if r["n"] == 1 else width, r["bytes"], r["n"])
-                 for r in split.collect()]
-        runs = sorted([r for r in runs if not any(f <= r[0] < f + w for f, w in spans)] + found)
+        found = [(first if n == 1 else part * width, 1 if n == 1 else width, size, n)
+                 for part, size, n, first in sums(spans, width)]
+        split = set(spans)
+        runs = sorted([r for r in runs if (r[0], r[1]) not in split] + found)
         if not runs:
             return []
         high, _ = _least(runs, shards)
-        low = _optimistic(runs, shards)
-        spans = _undecided(runs, low, high, shards)
+        spans = _undecided(runs, _optimistic(runs, shards), high, shards)
+        if spans:  # spans of one step have one width: the widest ones first
+            widest = max(w for _, w in spans)
+            spans = [s for s in spans if s[1] == widest]
     _, cuts = _least(runs, shards)
     return [runs[c][0] for c in cuts if c < len(runs)]
 
 
+def _reach(runs, capacity: int, shards: int, divisible: bool) -> list[int]:
+    """Bytes that the first k shards of the greedy walk take, for every k.
+    Nothing that is cut from finer runs reaches further than the walk over
+    divisible runs, nor less far than the walk over atomic ones."""
+    out, at, i, used = [], 0, 0, 0
+    for _ in range(shards):
+        left = capacity
+        while i < len(runs):
+            rest = runs[i][2] - used
+            if rest > left:
+                if divisible and runs[i][1] > 1:
+                    at, used = at + left, used + left
+                break
+            at, left, i, used = at + rest, left - rest, i + 1, 0
+        out.append(at)
+    return out
+
+
 def _optimistic(runs, shards: int) -> int:
     """A capacity no partition can beat: wide runs may be cut anywhere."""
     total = sum(r[2] for r in runs)
-    return max(-(-total // shards), max([r[2] for r in runs if r[1] == 1], default=0))
+    low, high = max(-(-total // shards), max([r[2] for r in runs if r[1] == 1], default=0)), total
+    while low < high:
+        middle = (low + high) // 2
+        if _reach(runs, middle, shards, True)[-1] == total:
+            high = middle
+        else:
+            low = middle + 1
+    return low
 
 
 def _undecided(runs, low: int, high: int, shards: int) -> list[tuple[int, int]]:
-    """Wide runs in which a cut may fall for a capacity in ``low..high``.
-
-    The k-th cut of the greedy walk lies at or before ``k * high`` bytes, and
-    at or after ``total - (shards - k) * high``, or else the rest would not fit.
-    """
-    total = sum(r[2] for r in runs)
+    """Wide runs in which a cut of the greedy walk may fall for a capacity in
+    ``low..high``: its k-th cut moves on with the capacity, so it lies between
+    the shortest reach at ``low`` and the longest at ``high``."""
+    cuts = list(zip(_reach(runs, low, shards - 1, False), _reach(runs, high, shards - 1, True)))
     out, before = [], 0
     for first, width, size, _ in runs:
         after = before + size
-        if width > 1 and any(before < k * high + 1 and after > total - (shards - k) * high - 1
-                             and after > k * low - (k * (high - low)) - 1 for k in range(1, shards)):
+        if width > 1 and any(before < b and after > a for a, b in cuts):
             out.append((first, width))
         before = after
     return out

@@ -2,7 +2,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
-from lapse.llm.sharding import _least, bounds, shard, sizes
+from lapse.llm.sharding import bounds, search, shard, sizes
 
 
 def test_whole_table(spark, documents):
@@ -52,6 +52,44 @@ def test_cuts_are_the_minimax_ones_at_any_fanout(spark):
             assert max(load.values()) == best([groups[g] for g in order], 8), (trial, fanout, total)
 
 
+def greedy(groups, capacity):
+    """First digests of the shards after the first of the greedy walk."""
+    out, left = [], capacity
+    for g in sorted(groups):
+        if groups[g] > left:
+            out.append(g)
+            left = capacity
+        left -= groups[g]
+    return out
+
+
+def test_cuts_of_skewed_groups_are_the_greedy_ones():
+    r = random.Random(9)
+    for trial in range(2000):
+        kind = trial % 4
+        n = r.randint(1, 120)
+        groups = {}
+        for _ in range(n):
+            near = r.choice([r.randrange(1 << 60), r.randrange(1 << 20), (1 << 59) + r.randrange(1 << 12)])
+            groups[near] = [r.randint(1, 9), r.choice([1, 1, 1, 500]), int(r.paretovariate(0.6)), 2 ** r.randint(0, 14)][kind]
+        order = sorted(groups)
+
+        def sums(spans, width, groups=groups, order=order):
+            out = {}
+            for g in order:
+                if any(f <= g < f + w for f, w in spans):
+                    p = out.setdefault(g // width, [0, 0, g])
+                    p[0] += groups[g]
+                    p[1] += 1
+            return [(k, *v) for k, v in out.items()]
+
+        shards, fanout = r.choice([2, 3, 8]), r.choice([4, 8, 16, 64])
+        least = best([groups[g] for g in order], shards)
+        # a bound may be any digest between two groups
+        got = [min(g for g in order if g >= b) for b in search(sums, shards, fanout)]
+        assert got == greedy(groups, least), (trial, shards, fanout)
+
+
 def test_huge_group_and_odd_rows(spark, odd, empty):
     rows = [(i, "copy" * 50) for i in range(300)] + [(1000 + i, f"other {i}") for i in range(300)]
     got = shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
