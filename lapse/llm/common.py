@@ -16,9 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: While a stage is written: what the write shuffled goes at its end, as nothing
-#: will read it again; texts reach Python in small batches.
-_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-            "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+#: will read it again.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+#: For the whole session: texts reach Python in small batches.
+_SESSION = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -48,9 +49,12 @@ def discard(*stages: DataFrame) -> None:
         path.getFileSystem(s.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it
-    (a no-op where it is installed or sent along with the job)."""
+def prepare(spark: SparkSession) -> None:
+    """Session settings of this package, and let Python workers import it from
+    where the driver has it (a no-op where it is installed or sent along with
+    the job)."""
+    for k, v in _SESSION.items():
+        spark.conf.set(k, v)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     known = env.get("PYTHONPATH", "")
@@ -61,7 +65,7 @@ def _importable(spark: SparkSession) -> None:
 def texts(docs: DataFrame) -> DataFrame:
     """``(doc_id long, text string)``; other columns, whatever their names,
     never reach the operators."""
-    _importable(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
