@@ -11,7 +11,7 @@ from lapse.streaming.slots import slot_stats_stream
 
 
 def test_stream_matches_batch(spark):
-    c = Ctx(spark, SF_SMALL, "all")
+    c = Ctx(spark, SF_SMALL)
     parsed = c.parsed()
     root = tempfile.mkdtemp(prefix="lapse-stream-")
     src = os.path.join(root, "in")
@@ -33,7 +33,7 @@ def test_stream_matches_batch(spark):
 
 def test_append_with_watermark(spark):
     from lapse.streaming.slots import start_slot_stats
-    c = Ctx(spark, SF_SMALL, "all")
+    c = Ctx(spark, SF_SMALL)
     parsed = c.parsed()
     root = tempfile.mkdtemp(prefix="lapse-stream2-")
     parsed.write.parquet(os.path.join(root, "in"))
