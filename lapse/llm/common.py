@@ -69,6 +69,14 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def number_rows(df: DataFrame, group: list[str], order: list[Column], salt: Column, name: str,
                 salts: int = 1024) -> DataFrame:
     """Add ``name``: gapless 0-based numbers inside each ``group``.

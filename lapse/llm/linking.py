@@ -125,10 +125,11 @@ def link(nodes: DataFrame, keys: Callable[[DataFrame], DataFrame], sets_of: Call
                 .select("key", "node", "root", "n").distinct(), "members")
     left = own.groupBy("key").agg(
         F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("members"),
-        F.sum("n").alias("weight"), F.sum(F.xxhash64("node") % (1 << 40)).alias("who"))
+        F.sum("n").alias("weight"), F.sum(F.xxhash64("node") % (1 << 40)).alias("who"),
+        F.sum(F.xxhash64(F.lit(1), "node") % (1 << 40)).alias("whom"))
     left = left.where("r1 < r2 and members > 2")
     # buckets of the same members need one look only
-    left = left.groupBy("members", "weight", "who").agg(F.min("key").alias("key"))
+    left = left.groupBy("members", "weight", "who", "whom").agg(F.min("key").alias("key"))
     left = left.select(F.col("key").alias("k2"), F.ceil(F.col("weight") / BLOCK).cast("int").alias("parts"))
     rest = own.join(left, own["key"] == left["k2"]).select("key", "node", "root", "parts")
     rest = rest.join(sets.hint("merge"), "node")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.llm import words as W
-from lapse.llm.common import stage, texts
+from lapse.llm.common import stage, texts, unused
 from lapse.llm.linking import components, link
 
 SHINGLE = 5
@@ -122,8 +122,9 @@ def one_of_each(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
     """The rows of ``docs``, all columns, without near-duplicates: of every
     group the document with the smallest doc_id, of repeated rows one."""
     found = stage(near_duplicates(docs, share=share), "groups")
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    out = docs.join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = unused(docs, "gone")
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    out = docs.join(gone.hint("merge"), F.col("doc_id") == F.col(name), "left_anti")
     n = found.where("doc_id is not null").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("k")).first()
     if n["n"] == n["k"]:
         return out

@@ -9,15 +9,21 @@ shingle sets, and verified pairs are clustered by connected components.  Bands
 are tuned for recall: a pair at the threshold 0.8 shares one with probability
 0.983, a pair of similarity 0.9 with 0.999, equal sets always.
 
+A shorter paragraph is compared by two windows of ``MIN_WORDS`` words, the one
+that starts with it and the one that ends with it: it repeats if one of them
+stands, word for word, at an earlier short paragraph, that is, if it repeats
+next to the same neighbours.
+
 The first paragraph of a cluster (smallest doc_id, then place) stays; the others
-are repeated.  A text loses its runs of adjacent repeated paragraphs, with
-shorter ones that lie between them, if a run's compared paragraphs have at
-least ``RUN_WORDS`` words together; single short sentences that recur stay.
+are repeated.  A text loses its runs of adjacent repeated paragraphs, if a run
+has at least ``RUN_WORDS`` words; a paragraph that does not repeat, however
+short, ends a run and stays, and so do single short sentences that recur.
 
 Results for odd input: null, empty and short texts lose nothing; rows that
-share a doc_id count as one document; rows without a doc_id are left out of
-the comparison; an empty table gives an empty result; columns other than
-doc_id and text are ignored.
+share doc_id and text count as one document, rows that share a doc_id alone are
+compared and cut each for itself (``text_key`` tells them apart); rows without a
+doc_id are left out of the comparison; an empty table gives an empty result;
+columns other than doc_id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,11 +32,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapse.llm import words as W
-from lapse.llm.common import stage, texts
+from lapse.llm.common import stage, texts, unused
 from lapse.llm.linking import components, link
 
 SHINGLE = 5
@@ -54,11 +60,11 @@ def paragraphs(w: W.Words) -> np.ndarray:
 
 
 class Units:
-    """The compared paragraphs of a batch."""
+    """The paragraphs of a batch that are compared by their shingles."""
 
     def __init__(self, data: np.ndarray, off: np.ndarray, shingle: int, least: int):
-        w = W.Words(data, off)
-        bounds = paragraphs(w)
+        self.words = w = W.Words(data, off)
+        self.bounds = bounds = paragraphs(w)
         size = np.diff(bounds)
         h, at = w.shingles(shingle, bounds)
         keep = size >= least
@@ -76,16 +82,38 @@ class Units:
         self.ends = np.concatenate([[0], np.cumsum(np.bincount(owner[fresh], minlength=len(count)))]).astype(np.int64)
         with np.errstate(over="ignore"):
             self.node = np.add.reduceat(W.mix(self.items ^ np.uint64(0x51ED27)), self.ends[:-1]) if len(count) else self.items
-        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-        base = chars[off[self.row]]
-        self.start = chars[w.start[self.first]] - base
-        self.stop = chars[w.end[self.first + self.size - 1]] - base
+        self.chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+
+    def spans(self, row: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Character spans, in their text, of runs of words."""
+        w, base = self.words, self.chars[self.words.offsets[row]]
+        return self.chars[w.start[first]] - base, self.chars[w.end[first + size - 1]] - base
+
+    def windows(self, least: int) -> tuple[np.ndarray, ...]:
+        """(row, place, first word, words, hash, second hash) of the shorter
+        paragraphs, once for each of their two windows of ``least`` words."""
+        w, size = self.words, np.diff(self.bounds)
+        short = np.flatnonzero(size < least)
+        first, size = self.bounds[:-1][short], size[short]
+        row = np.searchsorted(w.row, first, "right") - 1
+        place = short - np.searchsorted(self.bounds[:-1], w.row[row])
+        out = []
+        for side, at in enumerate((first, first + size - least)):
+            fits = np.flatnonzero((at >= w.row[row]) & (at + least <= w.row[row + 1]))
+            h = np.full((2, len(fits)), side + 1, np.uint64)
+            with np.errstate(over="ignore"):
+                for j in range(least):
+                    x = w.hash[at[fits] + j]
+                    h[0] = W.mix(h[0] * np.uint64(0x9E3779B97F4A7C15) + x)
+                    h[1] = W.mix(h[1] * np.uint64(0xD1B54A32D192ED03) + (x ^ np.uint64(0x2545F4914F6CDD1D)))
+            out.append((row[fits], place[fits], first[fits], size[fits], h[0], h[1]))
+        return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _units(shingle: int, least: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
+            ids, versions = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             data, off = W.raw(batch.column(1))
             for a, b in W.blocks(off):
                 u = Units(data[off[a]:off[b]], off[a:b + 1] - off[a], shingle, least)
@@ -95,12 +123,19 @@ def _units(shingle: int, least: int, bands: int, rows: int):
                     for j in range(rows):
                         key = W.mix(key * np.uint64(0x9E3779B97F4A7C15) + low[:, j::rows] + np.uint64(j))
                     key = W.mix(key + np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+                row, place, first, size, node, also = u.windows(least)
+                long, short = len(u.row), len(row)
+                row, place = np.concatenate([u.row, row]), np.concatenate([u.place, place])
+                first, size = np.concatenate([u.first, first]), np.concatenate([u.size, size])
+                start, stop = u.spans(row, first, size)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a + u.row]), pa.array(u.place.astype(np.int32)), pa.array(W.signed(u.node)),
-                     pa.array(np.diff(u.ends)), pa.array(u.size.astype(np.int32)), pa.array(u.start.astype(np.int32)),
-                     pa.array(u.stop.astype(np.int32)),
-                     W.list_column(W.signed(key.ravel()), np.arange(len(key) + 1) * bands)],
-                    names=["doc", "place", "node", "n", "words", "start", "stop", "keys"])
+                    [pa.array(ids[a + row]), pa.array(versions[a + row]), pa.array(place.astype(np.int32)),
+                     pa.array(W.signed(np.concatenate([u.node, node]))),
+                     pa.array(W.signed(np.concatenate([np.zeros(long, np.uint64), also]))),
+                     pa.array(np.concatenate([np.diff(u.ends), np.zeros(short, np.int64)])),
+                     pa.array(size.astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)),
+                     W.list_column(W.signed(key.ravel()), np.minimum(np.arange(long + short + 1), long) * bands)],
+                    names=["doc", "version", "place", "node", "also", "n", "words", "start", "stop", "keys"])
 
     return run
 
@@ -126,71 +161,66 @@ def _sets(shingle: int, least: int):
     return run
 
 
-def _runs(least: int):
-    """Runs of adjacent repeated paragraphs of a document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "start", "stop", "n_words", "n_paragraphs", "kept_doc_id"]
-        for batch in batches:
-            rows = [[] for _ in names]
-            for doc, units in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                units = sorted({u["place"]: u for u in units}.values(), key=lambda u: u["place"])
-                run = []
-                for u in units + [{"gone": False}]:
-                    if u["gone"]:
-                        run.append(u)
-                        continue
-                    words = sum(x["words"] for x in run)
-                    if run and words >= least:
-                        for r, v in zip(rows, (doc, run[0]["start"], run[-1]["stop"], words, len(run), run[0]["kept"])):
-                            r.append(v)
-                    run = []
-            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], names=names)
-
-    return run
-
-
 def repeated_passages(docs: DataFrame, shingle: int = SHINGLE, share: tuple[int, int] = SHARE, bands: int = BANDS,
                       rows: int = ROWS, min_words: int = MIN_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
-    """``doc_id, start, stop, n_words, n_paragraphs, kept_doc_id``: one row for
-    every removed run, its span in characters of the text, the words and number
-    of its compared paragraphs, and the document that keeps the first of them."""
-    d = texts(docs).where("doc_id is not null")
-    units = stage(d.mapInArrow(_units(shingle, min_words, bands, rows), "doc long, place int, node long, n long, "
-                               "words int, start int, stop int, keys array<long>"), "units")
+    """``doc_id, text_key, start, stop, n_words, n_paragraphs, kept_doc_id``: one
+    row for every removed run, its span in characters of the text, the words and
+    number of its paragraphs, and the document that keeps the first of them."""
+    d = _keyed(texts(docs).where("doc_id is not null"))
+    units = stage(d.mapInArrow(_units(shingle, min_words, bands, rows), "doc long, version long, place int, node long, "
+                               "also long, n long, words int, start int, stop int, keys array<long>"), "units")
+    long = units.where("n > 0")
 
     def keys(nodes: DataFrame) -> DataFrame:
-        return units.select("node", F.explode("keys").alias("key"))
+        return long.select("node", F.explode("keys").alias("key"))
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        where = units.join(nodes.withColumnRenamed("node", "x").hint("merge"), F.col("node") == F.col("x"))
-        where = where.groupBy("node").agg(F.min(F.struct("doc", "place")).alias("w"))
-        where = where.groupBy(F.col("w.doc").alias("doc_id")).agg(F.collect_set("w.place").alias("places"))
-        asked = d.join(where.hint("merge"), "doc_id").select("text", "places")
+        where = long.groupBy("node").agg(F.min(F.struct("doc", "version", "place")).alias("w"))
+        where = where.join(nodes.withColumnRenamed("node", "x").hint("merge"), F.col("node") == F.col("x"))
+        where = where.groupBy(F.col("w.doc").alias("doc_id"), F.col("w.version").alias("text_key")).agg(
+            F.collect_set("w.place").alias("places"))
+        asked = d.join(where.hint("merge"), ["doc_id", "text_key"]).select("text", "places")
         return asked.mapInArrow(_sets(shingle, min_words), "node long, items array<long>").dropDuplicates(["node"])
 
-    roots = components(link(units.select("node", "n"), keys, sets_of, share)).select(F.col("node").alias("x"), "root")
-    own = units.select("doc", "place", "node", "words", "start", "stop").join(roots, F.col("node") == F.col("x"), "left")
-    own = own.select("doc", "place", "words", "start", "stop", F.coalesce("root", "node").alias("root"))
-    first = own.groupBy("root").agg(F.min("doc").alias("d1"), F.max("doc").alias("d2"), F.min("place").alias("p1"),
-                                    F.max("place").alias("p2"), F.min(F.struct("doc", "place")).alias("f"))
-    first = first.where("d1 <> d2 or p1 <> p2").select(F.col("root").alias("r"), "f")
-    own = own.join(first.hint("merge"), F.col("root") == F.col("r"), "left")
-    gone = F.coalesce((F.col("doc") != F.col("f.doc")) | (F.col("place") != F.col("f.place")), F.lit(False))
-    by = own.groupBy("doc").agg(F.max(gone).alias("any"), F.collect_list(F.struct(
-        "place", "words", "start", "stop", gone.alias("gone"), F.col("f.doc").alias("kept"))).alias("units"))
-    return by.where("any").select("doc", "units").mapInArrow(
-        _runs(run_words), "doc_id long, start long, stop long, n_words long, n_paragraphs long, kept_doc_id long")
+    roots = components(link(long.select("node", "n"), keys, sets_of, share)).select(F.col("node").alias("x"), "root")
+    at = ["doc", "version", "place", "words", "start", "stop", "also"]
+    own = long.select(*at, "node").join(roots, F.col("node") == F.col("x"), "left").select(
+        *at, F.coalesce("root", "node").alias("root"))
+    own = own.unionByName(units.where("n = 0").select(*at, F.col("node").alias("root")))
+    me = F.struct("doc", "version", "place")
+    first = own.groupBy("root", "also").agg(F.min(me).alias("first"), F.max(me).alias("last")).where("first <> last")
+    # read from its files the small side gets an exchange of its own, so that a root with many members can be split
+    first = stage(first.select(F.col("root").alias("r"), F.col("also").alias("b"), "first"), "firsts")
+    gone = own.join(first.hint("merge"), (F.col("root") == F.col("r")) & (F.col("also") == F.col("b")))
+    gone = gone.where(me != F.col("first"))
+    w = Window.partitionBy("doc", "version").orderBy("place")
+    gone = gone.select(*at[:-1], F.col("first.doc").alias("kept"), (F.col("place") - F.dense_rank().over(w)).alias("run"),
+                       F.coalesce(F.lag("place").over(w) != F.col("place"), F.lit(True)).alias("fresh"))
+    runs = gone.groupBy("doc", "version", "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum(F.when(F.col("fresh"), F.col("words"))).alias("n_words"),
+        F.count_if("fresh").alias("n_paragraphs"), F.min(F.struct("place", "kept")).alias("k"))
+    return runs.where(F.col("n_words") >= run_words).select(
+        F.col("doc").alias("doc_id"), F.col("version").alias("text_key"), F.col("start").cast("long").alias("start"),
+        F.col("stop").cast("long").alias("stop"), "n_words", "n_paragraphs", F.col("k.kept").alias("kept_doc_id"))
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """``rows(doc_id, text)`` with the number that tells texts of one id apart."""
+    return rows.withColumn("text_key", F.xxhash64("text"))
 
 
 def without(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` with the ``spans(doc_id, start, stop)`` cut out of their texts."""
-    cut = spans.groupBy(F.col("doc_id").alias("_cut_id")).agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("_cut"))
-    out = docs.join(cut.hint("merge"), F.col("doc_id") == F.col("_cut_id"), "left")
+    """``docs``, all columns, with the ``spans(doc_id, text_key, start, stop)``
+    cut out of their texts."""
+    own, key, cuts = unused(docs, "own"), unused(docs, "key"), unused(docs, "cuts")
+    cut = spans.groupBy(F.col("doc_id").alias(own), F.col("text_key").alias(key)).agg(
+        F.array_sort(F.collect_set(F.struct("start", "stop"))).alias(cuts))
+    text = F.col("text").cast("string")
+    out = docs.join(cut.hint("merge"), (F.col("doc_id") == F.col(own)) & (F.xxhash64(text) == F.col(key)), "left")
     # the spans are apart: keep what lies between them, from the last one on
-    kept = F.aggregate(F.reverse("_cut"), F.struct(F.lit("").alias("tail"), F.length("text").alias("end")),
+    kept = F.aggregate(F.reverse(cuts), F.struct(F.lit("").alias("tail"), F.length(text).alias("end")),
                        lambda acc, s: F.struct(
-                           F.concat(F.substring("text", (s["stop"] + 1).cast("int"), acc["end"] - s["stop"].cast("int")),
+                           F.concat(F.substring(text, (s["stop"] + 1).cast("int"), acc["end"] - s["stop"].cast("int")),
                                     acc["tail"]).alias("tail"), s["start"].cast("int").alias("end")),
-                       lambda acc: F.concat(F.substring("text", F.lit(1), acc["end"]), acc["tail"]))
-    return out.withColumn("text", F.when(F.col("_cut").isNull(), F.col("text")).otherwise(kept)).drop("_cut", "_cut_id")
+                       lambda acc: F.concat(F.substring(text, F.lit(1), acc["end"]), acc["tail"]))
+    return out.withColumn("text", F.when(F.col(cuts).isNull(), text).otherwise(kept)).drop(own, key, cuts)
