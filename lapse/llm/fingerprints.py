@@ -8,12 +8,13 @@ text, and hashed as a pair; the fingerprint is the list of those hashes.  Two
 texts agree in an entry only if they share both k-mers and their order, which
 makes the share of equal entries sensitive to edit distance.
 
-The two selected k-mers are the smallest and the largest one of an order.
-Both ends of a random order are distributed like its first two places, and as
-plain minimum and maximum they are fixed-size aggregates: the k-mers of a text
-stream through them without ever being sorted or gathered.  An order is given
-by ``hash XOR constant``; the low ``POSITION_BITS`` bits of the packed value
-carry the position, which the constants leave alone.
+An order ranks k-mers by a hash of its own (xxhash64 of the k-mer and the
+order's number).  The two selected k-mers are minimal in it read from its one
+and from its other end.  The first and the last place of a random order are
+distributed exactly like its first two, and as plain minimum and maximum they
+are fixed-size aggregates: the k-mers of a text stream through them without
+ever being sorted by an order or gathered.  The low ``POSITION_BITS`` bits of
+a packed value carry the position.
 
 The "next document" of the contract needs a global order.  Boundaries of
 doc_id ranges are fixed once as quantiles; ``lead`` runs inside a range, and
@@ -24,13 +25,11 @@ has the fingerprint of no k-mers (zeros); a text of fewer than k words has
 its whole sequence as its one k-mer; rows without a doc_id come last in the
 order; repeated rows stand next to each other and each gets a result row; a
 table of one row is its own next document; an empty table gives an empty
-result; positions beyond 2^23 words count as 2^23 - 1.
+result; positions beyond 2^27 words count as 2^27 - 1.
 """
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,15 +38,11 @@ from lapse.llm.native import before, let
 
 K = 3
 FUNCTIONS = 32
-POSITION_BITS = 23
+POSITION_BITS = 27
+#: doc_id ranges: at least, at most, and the bytes of text of one in between.
 RANGES = 512
-
-
-def _constants(n: int) -> list[int]:
-    """``n`` signed 64-bit constants whose position and text bits are 0."""
-    r = random.Random(17)
-    low = POSITION_BITS + 1
-    return [(r.getrandbits(64 - low) << low) - (1 << 63) for _ in range(n)]
+MOST_RANGES = 8192
+RANGE_BYTES = 1 << 29
 
 
 def _kmers(text: Column, k: int, which: int) -> Column:
@@ -85,10 +80,13 @@ def _kmers(text: Column, k: int, which: int) -> Column:
     return F.when(trimmed == "", F.array().cast("array<bigint>")).otherwise(let(F.split(trimmed, space), of))
 
 
-def _order(docs: DataFrame, ranges: int) -> DataFrame:
+def _order(docs: DataFrame, ranges: int | None) -> DataFrame:
     """The rows with ``part``: numbers of doc_id ranges, ascending."""
     d = texts(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    cuts = d.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 20_000)).first()[0] or []
+    if ranges is None:
+        size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        ranges = min(max(RANGES, size // RANGE_BYTES), MOST_RANGES)
+    cuts = d.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 40_000)).first()[0] or []
     cuts = sorted(set(cuts))
     part = F.lit(0)
     if cuts:
@@ -100,7 +98,7 @@ def _order(docs: DataFrame, ranges: int) -> DataFrame:
     return d.withColumn("part", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(part))
 
 
-def with_next(docs: DataFrame, ranges: int = RANGES) -> DataFrame:
+def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """``part, doc_id, text, next_id, next_text``: the next row by descending
     doc_id (equal ids by text digest); after the last row the first.  The rows
     lie hash-partitioned by ``part``; texts are shuffled once."""
@@ -121,9 +119,10 @@ def with_next(docs: DataFrame, ranges: int = RANGES) -> DataFrame:
     return d.select("part", "doc_id", "text", follower["doc_id"].alias("next_id"), follower["text"].alias("next_text"))
 
 
-def fingerprints(docs: DataFrame, k: int = K, functions: int = FUNCTIONS, ranges: int = RANGES) -> DataFrame:
+def fingerprints(docs: DataFrame, k: int = K, functions: int = FUNCTIONS, ranges: int | None = None) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next`` for every row of ``docs``."""
+    near_edited, near_next`` for every row of ``docs``; the number of doc_id
+    ``ranges`` follows the size of the table."""
     rows = with_next(docs, ranges)
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     cut = F.expr("cast(n_chars div 3 as int)")
@@ -137,16 +136,18 @@ def fingerprints(docs: DataFrame, k: int = K, functions: int = FUNCTIONS, ranges
     each = rows.select(*base, F.explode_outer("kmers").alias("x"))
     side = F.shiftright(F.col("x"), POSITION_BITS).bitwiseAND(F.lit(1).cast("long"))
     each = each.withColumn("side", F.coalesce(side, F.lit(-1).cast("long")))
-    x, aggregates = F.col("x"), []
-    for j, c in enumerate(_constants(functions)):
-        aggregates += [F.min(x.bitwiseXOR(F.lit(c))).alias(f"a{j}"), F.max(x.bitwiseXOR(F.lit(c))).alias(f"z{j}")]
-    ends = each.groupBy(*base, "side").agg(*aggregates)
-    mask = F.lit((1 << POSITION_BITS) - 1).cast("long")
+    low = F.lit((1 << POSITION_BITS) - 1).cast("long")
+    mask = F.lit(-1 << (POSITION_BITS + 1)).cast("long")
+    each = each.select(*base, "side", F.shiftright("x", POSITION_BITS + 1).alias("kmer"), F.col("x").bitwiseAND(low).alias("at"))
+    each = each.select(*base, "side", *[F.when(F.col("side") >= 0, F.xxhash64("kmer", F.lit(j)).bitwiseAND(mask).bitwiseOR(
+        F.col("at"))).alias(f"v{j}") for j in range(functions)])
+    ends = each.groupBy(*base, "side").agg(*[f(f"v{j}").alias(f"{name}{j}") for j in range(functions)
+                                             for name, f in (("a", F.min), ("z", F.max))])
     entries = []
     for j in range(functions):
         a, z = F.col(f"a{j}"), F.col(f"z{j}")
         one, two = F.shiftright(a, POSITION_BITS + 1), F.shiftright(z, POSITION_BITS + 1)
-        early = a.bitwiseAND(mask) <= z.bitwiseAND(mask)
+        early = a.bitwiseAND(low) <= z.bitwiseAND(low)
         entries.append(F.substring(F.hex(F.when(early, F.xxhash64(one, two)).otherwise(F.xxhash64(two, one))), -8, 8))
     sign = ends.select(*base, "side", F.lpad(F.concat(*entries), 8 * functions, "0").alias("print"))
     none = F.lit("0" * 8 * functions)
@@ -160,6 +161,8 @@ def _compare(both: DataFrame, functions: int) -> DataFrame:
     """The result rows: each row's fingerprints beside the next document's,
     which has the fingerprint of its text."""
     by_text = both.groupBy("own_sha").agg(F.max("own").alias("next_print")).withColumnRenamed("own_sha", "sha")
+    # read from its files this side gets an exchange of its own, so that the followers of a common text can be split
+    by_text = stage(by_text, "by_text")
     both = both.join(by_text, F.col("next_sha") == F.col("sha"), "left")
 
     def near(x: Column, y: Column) -> Column:

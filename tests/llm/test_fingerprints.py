@@ -1,10 +1,10 @@
 import hashlib
 import random
+import re
 
-import pytest
-from pyspark.sql import functions as F
+import xxhash
 
-from lapse.llm.fingerprints import K, fingerprints
+from lapse.llm.fingerprints import FUNCTIONS, K, POSITION_BITS, fingerprints
 
 
 def edited(rows):
@@ -20,7 +20,6 @@ def edited(rows):
 
 def kmers(text):
     w = text.strip(" \t\n\r\x0b\x0c")
-    import re
     w = re.split(r"[\x09-\x0d\x20]+", w) if w else []
     seen, out = {}, []
     for i in range(max(1, len(w) - K + 1) if w else 0):
@@ -30,6 +29,55 @@ def kmers(text):
     return out
 
 
+def xx(*values):
+    """xxhash64 of longs, ints (as such pairs) and strings, signed."""
+    seed = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else v[0].to_bytes(v[1], "little", signed=True)
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def shortened(value, bits):
+    """The low ``64 - bits`` bits, signed."""
+    value = (value << bits) & ((1 << 64) - 1)
+    return (value - (1 << 64) if value >> 63 else value) >> bits
+
+
+def brute_force(text):
+    """The fingerprint: for each order its first and last k-mer, in text order."""
+    ids = [xx((shortened(xx(*k), POSITION_BITS), 8), (n, 4)) for k, n in kmers(text)]
+    if not ids:
+        return "0" * 8 * FUNCTIONS
+    out = []
+    for j in range(FUNCTIONS):
+        v = [(xx((shortened(x, POSITION_BITS + 1), 8), (j, 4)) >> (POSITION_BITS + 1), at) for at, x in enumerate(ids)]
+        one, two = sorted((min(v), max(v)), key=lambda x: x[1])
+        out.append(f"{xx((one[0], 8), (two[0], 8)) & 0xFFFFFFFF:08x}")
+    return "".join(out)
+
+
+def test_prints_equal_brute_force_on_whole_table(documents):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    want = edited(rows)
+    got = {r.doc_id: r for r in fingerprints(documents, ranges=16).collect()}
+    for d, t in rows:
+        assert got[d].fingerprint == brute_force(t or ""), d
+        assert got[d].edited_fingerprint == brute_force(want[d][0]), d
+
+
+def test_both_ends_of_an_order_are_drawn_from_all_pairs():
+    """Every ordered pair of k-mers is as likely as any other."""
+    text = " ".join("abcdefgh")
+    ids = [xx((shortened(xx(*k), POSITION_BITS), 8), (n, 4)) for k, n in kmers(text)]
+    n, seen = 20_000, {}
+    for j in range(n):
+        v = [xx((shortened(x, POSITION_BITS + 1), 8), (j, 4)) for x in ids]
+        key = v.index(min(v)), v.index(max(v))
+        seen[key] = seen.get(key, 0) + 1
+    assert len(seen) == 30 and max(abs(c - n / 30) for c in seen.values()) < 5 * (n / 30) ** 0.5
+
+
 def pair_share(x, y):
     """Expected share of equal entries: both ends of a random order of the
     union shared, and standing in the same order."""
