@@ -9,9 +9,10 @@ at J = 0.85 with m = 8 and rows = 2 it is missed with probability 7e-5.
 Candidates are confirmed on the full shingle sets.
 
 Results for odd input: a null or blank text has the empty set and is linked
-with nothing; rows that share a doc_id are one node; a row without a doc_id
-is linked with nothing and has a null component; an empty table gives an
-empty result; columns other than doc_id and text are ignored.
+with nothing; rows that share a doc_id are one node, linked with all that one
+of their texts is linked with; a row without a doc_id is linked with nothing
+and has a null component; an empty table gives an empty result; columns other
+than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -95,8 +96,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, share: tuple[int, i
     same = stage(same, "same")
     reps = d.join(same.select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), "rep"),
                   (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")) & (F.col("doc_id") == F.col("rep")))
-    reps = reps.select(F.col("doc_id").alias("node"), "n", "sig").dropDuplicates(["node"])
+    reps = reps.dropDuplicates(["f1", "f2"]).select(F.col("doc_id").alias("node"), "n", "sig")
     reps = stage(reps, "reps")
+    # the texts of a repeated doc_id belong together
+    text = F.struct("f1", "f2")
+    several = known.groupBy("doc_id").agg(F.min(text).alias("t1"), F.max(text).alias("t2")).where("t1 <> t2")
+    several = known.join(several.select("doc_id").hint("merge"), "doc_id", "left_semi").select("doc_id", "f1", "f2").distinct()
+    several = several.join(same.hint("merge"), ["f1", "f2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
     def keys(nodes: DataFrame) -> DataFrame:
         t = nodes.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(halves * halves - 1))).alias("t"))
@@ -108,7 +114,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, share: tuple[int, i
         wanted = own.join(nodes.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left_semi")
         return wanted.mapInArrow(shingle_sets(shingle), "node long, items array<long>")
 
-    links = link(reps, keys, sets_of, share)
+    links = link(reps, keys, sets_of, share).unionByName(several)
     roots = components(links).select(F.col("node").alias("rep"), "root")
     named = same.join(roots, "rep", "left").select("f1", "f2", F.coalesce("root", "rep").alias("root"))
     base = d.select("doc_id", "n", "f1", "f2")
@@ -120,13 +126,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, share: tuple[int, i
 
 def one_of_each(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
     """The rows of ``docs``, all columns, without near-duplicates: of every
-    group the document with the smallest doc_id, of repeated rows one."""
-    found = stage(near_duplicates(docs, share=share), "groups")
-    name = unused(docs, "gone")
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
-    out = docs.join(gone.hint("merge"), F.col("doc_id") == F.col(name), "left_anti")
-    n = found.where("doc_id is not null").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("k")).first()
-    if n["n"] == n["k"]:
-        return out
-    numbered = out.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return numbered.unionByName(out.where("doc_id is null"))
+    group the document with the smallest doc_id, of repeated rows one.  Rows
+    that share a doc_id but differ in text count as documents of their own."""
+    own = texts(docs)
+    rows = own.agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("k")).first()
+    gone, number = unused(docs, "gone"), "number"
+    if rows["n"] == rows["k"]:
+        found = near_duplicates(docs, share=share).where(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct()
+        return docs.join(found.hint("merge"), F.col("doc_id") == F.col(gone), "left_anti")
+    # distinct rows get numbers that ascend with doc_id
+    key, text_key = unused(docs, "key"), F.xxhash64(F.col("text").cast("string"))
+    order = ["doc_id", F.xxhash64("text")]
+    each = own.where("doc_id is not null").distinct().repartitionByRange(*order).sortWithinPartitions(*order)
+    each = stage(each.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(each.select(F.col(number).alias("doc_id"), "text"), share=share).where(~F.col("kept"))
+    found = each.join(found.select(F.col("doc_id").alias(number)).hint("merge"), number, "left_semi")
+    found = found.select(F.col("doc_id").alias(gone), F.xxhash64("text").alias(key)).distinct()
+    left = docs.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    left = left.join(found.hint("merge"), (F.col("doc_id") == F.col(gone)) & (text_key == F.col(key)), "left_anti")
+    return left.unionByName(docs.where("doc_id is null"))

@@ -1,6 +1,6 @@
 import re
 
-from lapse.llm.near_dedup import near_duplicates
+from lapse.llm.near_dedup import near_duplicates, one_of_each
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 UPPER = {c: c + 32 for c in range(65, 91)}
@@ -64,3 +64,28 @@ def test_odd_rows(odd, empty):
     none = [r for r in near_duplicates(odd).collect() if r.doc_id is None]
     assert [(r.component_id, r.kept) for r in none] == [(None, True)]
     assert near_duplicates(empty).count() == 0
+
+
+def spread(n, *changed):
+    """A text of ``n`` words, some of them changed."""
+    return " ".join(f"c{i}" if i in changed else f"w{i}" for i in range(n))
+
+
+def test_texts_of_one_doc_id_are_one_node(spark):
+    a, b, c = spread(80), " ".join(f"x{i}" for i in range(60)), " ".join(f"y{i}" for i in range(60))
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, c), (5, spread(80, 79)), (6, c), (7, c), (7, b), (9, "alone"), (9, "")]
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1, True), *((d, 1, False) for d in (2, 3, 4, 5, 6, 7)), (9, 9, True)}
+
+
+def test_one_of_each_keeps_every_text_of_a_repeated_doc_id(spark):
+    a, b = spread(80), " ".join(f"x{i}" for i in range(60))
+    schema = "doc_id long, text string, gone string, key string, number string, node string"
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, b), (4, spread(80, 79)), (5, None), (5, None), (None, a)]
+    df = spark.createDataFrame([(*r, "g", "k", "n", "o") for r in rows], schema)
+    got = sorted(((str(r.doc_id), r.text) for r in one_of_each(df, (4, 5)).collect()), key=str)
+    assert got == sorted([("1", a), ("2", b), ("5", None), ("None", a)], key=str)
+    unique = df.where("doc_id in (1, 3, 4)")
+    assert sorted(r.doc_id for r in one_of_each(unique, (4, 5)).collect()) == [1, 3]
+    assert one_of_each(df, (4, 5)).columns == df.columns
