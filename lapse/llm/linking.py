@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapse.llm.common import stage
+from lapse.llm.common import discard, stage
 
 #: Shingles of a block of a bucket's members.
 BLOCK = 200_000
@@ -43,14 +43,17 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low2, large["u"] == low2["x"])
         small = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        e = stage(small, "edges")
+        before, e = e, stage(small, "edges")
+        discard(before)
         now = tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
         if now == state:
             break
         state = now
     root = e.groupBy("u").agg(F.min("v").alias("root"))
-    return stage(root.select(F.col("u").alias("node"), "root")
-                 .unionByName(root.select(F.col("root").alias("node"), "root").distinct()), "roots")
+    roots = stage(root.select(F.col("u").alias("node"), "root")
+                  .unionByName(root.select(F.col("root").alias("node"), "root").distinct()), "roots")
+    discard(e)
+    return roots
 
 
 def verified(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -138,4 +141,6 @@ def link(nodes: DataFrame, keys: Callable[[DataFrame], DataFrame], sets_of: Call
     rest = rest.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
                        "node", "root", "items", "block")
     more = rest.groupBy("key", "one", "two").applyInArrow(_unit(share), "a long, b long")
-    return links.unionByName(stage(more.distinct(), "more"))
+    more = stage(more.distinct(), "more")
+    discard(shared, star, sets, roots, own)
+    return links.unionByName(more)

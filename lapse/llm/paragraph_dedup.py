@@ -188,7 +188,7 @@ def repeated_passages(docs: DataFrame, shingle: int = SHINGLE, share: tuple[int,
         *at, F.coalesce("root", "node").alias("root"))
     own = own.unionByName(units.where("n = 0").select(*at, F.col("node").alias("root")))
     me = F.struct("doc", "version", "place")
-    first = own.groupBy("root", "also").agg(F.min(me).alias("first"), F.max(me).alias("last")).where("first <> last")
+    first = own.groupBy("root", "also").agg(F.min(me).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
     # read from its files the small side gets an exchange of its own, so that a root with many members can be split
     first = stage(first.select(F.col("root").alias("r"), F.col("also").alias("b"), "first"), "firsts")
     gone = own.join(first.hint("merge"), (F.col("root") == F.col("r")) & (F.col("also") == F.col("b")))
