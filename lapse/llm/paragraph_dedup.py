@@ -90,8 +90,8 @@ class Units:
         return self.chars[w.start[first]] - base, self.chars[w.end[first + size - 1]] - base
 
     def windows(self, least: int) -> tuple[np.ndarray, ...]:
-        """(row, place, first word, words, hash, second hash) of the shorter
-        paragraphs, once for each of their two windows of ``least`` words."""
+        """(row, place, first word, words, hash, 32 more bits of hash) of the
+        shorter paragraphs, once for each of their two windows of ``least`` words."""
         w, size = self.words, np.diff(self.bounds)
         short = np.flatnonzero(size < least)
         first, size = self.bounds[:-1][short], size[short]
@@ -106,7 +106,8 @@ class Units:
                     x = w.hash[at[fits] + j]
                     h[0] = W.mix(h[0] * np.uint64(0x9E3779B97F4A7C15) + x)
                     h[1] = W.mix(h[1] * np.uint64(0xD1B54A32D192ED03) + (x ^ np.uint64(0x2545F4914F6CDD1D)))
-            out.append((row[fits], place[fits], first[fits], size[fits], h[0], h[1]))
+            also = (h[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            out.append((row[fits], place[fits], first[fits], size[fits], h[0], also))
         return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -131,7 +132,7 @@ def _units(shingle: int, least: int, bands: int, rows: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[a + row]), pa.array(versions[a + row]), pa.array(place.astype(np.int32)),
                      pa.array(W.signed(np.concatenate([u.node, node]))),
-                     pa.array(W.signed(np.concatenate([np.zeros(long, np.uint64), also]))),
+                     pa.array(np.concatenate([np.zeros(long, np.int32), also])),
                      pa.array(np.concatenate([np.diff(u.ends), np.zeros(short, np.int64)])),
                      pa.array(size.astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)),
                      W.list_column(W.signed(key.ravel()), np.minimum(np.arange(long + short + 1), long) * bands)],
@@ -168,7 +169,7 @@ def repeated_passages(docs: DataFrame, shingle: int = SHINGLE, share: tuple[int,
     number of its paragraphs, and the document that keeps the first of them."""
     d = _keyed(texts(docs).where("doc_id is not null"))
     units = stage(d.mapInArrow(_units(shingle, min_words, bands, rows), "doc long, version long, place int, node long, "
-                               "also long, n long, words int, start int, stop int, keys array<long>"), "units")
+                               "also int, n long, words int, start int, stop int, keys array<long>"), "units")
     long = units.where("n > 0")
 
     def keys(nodes: DataFrame) -> DataFrame:
