@@ -1,8 +1,12 @@
+import math
+import re
 import zlib
+from bisect import bisect_right
+from collections import Counter
 
 import numpy as np
 
-from lapse.llm.quality import dual_descent, quality_scores
+from lapse.llm.quality import DIMENSIONS, dual_descent, features, fit, quality_scores
 
 
 def test_held_out_accuracy_on_whole_table(spark):
@@ -50,3 +54,61 @@ def test_odd_rows(spark, odd, empty):
     assert quality_scores(empty, labels).count() == 0
     none = quality_scores(odd, labels.where("false")).collect()
     assert {r.score for r in none} == {0.5}
+
+
+def plain_features(text):
+    """The features of one text, unhashed, by plain loops."""
+    raw = text.encode()
+    parts = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    words = [p.lower() for p in parts]
+    size, n = max(len(raw), 1), max(len(words), 1)
+    capital = sum(65 <= c <= 90 for c in raw) / size
+    symbol = sum(not (65 <= c <= 90 or 97 <= c <= 122 or c >= 128 or c in (32, 10)) for c in raw) / size
+    same = sum(a == b for a, b in zip(words, words[1:])) / n
+    marks = [(capital, [.01, .03, .06, .1, .2, .4]), (symbol, [.01, .03, .05, .08, .12, .2, .4]),
+             (1 - len(set(words)) / n, [.1, .2, .3, .4, .5, .6, .7, .8, .9]), (same, [.01, .05, .1, .3, .6]),
+             (len(raw), [1, 50, 200, 1000, 5000, 20000])]
+    return ({("one", w) for w in words} | {("two", *w) for w in zip(words, words[1:])} | {("head", p[:4]) for p in parts}
+            | {("mark", i, bisect_right(cuts, x)) for i, (x, cuts) in enumerate(marks)})
+
+
+def packed(texts):
+    raw = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(t) for t in raw])
+
+
+def test_features_are_those_of_plain_loops(documents):
+    texts = [r.text or "" for r in documents.orderBy("doc_id").limit(60).collect()] + ["", "One one ONE  two"]
+    slot, at = features(*packed(texts), 1 << 30)
+    want = [plain_features(t) for t in texts]
+    assert [len(w) for w in want] == np.diff(at).tolist()
+    assert sorted(Counter(f for w in want for f in w).values()) == sorted(Counter(slot.tolist()).values())
+
+
+def test_log_count_ratios_and_scores_equal_brute_force_on_the_whole_table(spark):
+    d = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    label = {r.doc_id: r.quality for r in labels.collect() if r.quality in (0, 1)}
+    slots = {}
+    for i, t in text.items():
+        slot, _ = features(*packed([t]))
+        slots[i] = slot.tolist()
+    held = {i: zlib.crc32(str(i).encode()) % 3 == 1 for i in text}
+    count = [Counter(), Counter()]
+    for i in text:
+        if i in label and not held[i]:
+            count[label[i]].update(slots[i])
+    total = [sum(c.values()) + DIMENSIONS for c in count]
+    weight, ratio, slope, shift = fit(docs, labels)
+    for s in {s for own in slots.values() for s in own}:
+        want = math.log((count[1][s] + 1) / total[1]) - math.log((count[0][s] + 1) / total[0])
+        assert abs(ratio[s] - want) < 1e-5
+    got = quality_scores(docs, labels).collect()
+    assert len(got) == len(text)
+    for r in got:
+        own = slots[r.doc_id]
+        norm = math.sqrt(sum(float(ratio[s]) ** 2 for s in own)) or 1.0
+        margin = sum(float(weight[s]) for s in own) / norm + float(weight[-1])
+        assert abs(r.score - 1 / (1 + math.exp(-(slope * margin + shift)))) < 1e-6
+        assert r.held_out == held[r.doc_id] and r.predicted == (r.score >= 0.5)
