@@ -66,8 +66,7 @@ WINDOWS = (Windows(64, 32, 8, 4), Windows(0, 14, 5, 1))
 #: Samplings of one walk, and of all walks at most.
 SAMPLINGS = 4
 MOST_TABLES = 48
-#: Items of a class of lengths that are edited to set walks and votes, and copies of each.
-MEASURED = 100
+#: Edited copies of each item, to set walks and votes.
 COPIES = 6
 #: Votes that a leak at the limit shall reach, so that as many can be asked for.
 ENOUGH = 4
@@ -299,17 +298,15 @@ def _limit(size: int, similarity: float) -> int:
 
 
 def plan(texts: list[bytes], similarity: float, recall: float) -> dict[int, tuple[int, int, Windows]]:
-    """(tables, votes asked for, windows) by class of lengths.  Copies of at most
-    ``MEASURED`` items of a class, edited at the limit, are searched; the fewest
-    samplings are taken whose share of copies found is ``recall`` or more, and the
-    most votes that keep it."""
+    """(tables, votes asked for, windows) by class of lengths.  Copies of all
+    items of a class, edited at the limit, are searched; the fewest samplings are
+    taken whose share of copies found is ``recall`` or more, and the most votes
+    that keep it."""
     out, rng = {}, np.random.default_rng(11)
     by_class: dict[int, list[bytes]] = {}
     for t in texts:
         by_class.setdefault(_length_class(len(t)), []).append(t)
     for name, some in by_class.items():
-        if len(some) > MEASURED:
-            some = [some[i] for i in rng.choice(len(some), MEASURED, False)]
         windows = _windows(min(len(t) for t in some))
         copies = [(i, _edited(t, _limit(len(t), similarity), c % 2 == 1, rng))
                   for i, t in enumerate(some) for c in range(COPIES)]

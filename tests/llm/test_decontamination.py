@@ -146,3 +146,13 @@ def test_recall_by_item_size_with_random_and_even_edits(spark, size, share, even
     words = dict(items)
     inside = {d for d, t in docs if edit_distance(words[d].encode(), normal(t).encode())[0] <= len(words[d]) // 5}
     assert own <= inside and len(inside) > 50 and len(own) >= 0.95 * len(inside)
+
+
+def test_all_items_of_a_class_set_its_walks_and_votes(monkeypatch):
+    from lapse.llm import decontamination as D
+    r = random.Random(5)
+    items = ["".join(r.choice("abcdefgh ") for _ in range(40)).encode() for _ in range(130)]
+    edited, edit = set(), D._edited
+    monkeypatch.setattr(D, "_edited", lambda text, *a: edited.add(text) or edit(text, *a))
+    D.plan(items, 0.8, 0.98)
+    assert edited == set(items)
