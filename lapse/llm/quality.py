@@ -4,10 +4,10 @@ A text's features are indicators of its word 1- and 2-grams, of character
 4-grams at word starts, and of a few shape marks (share of capitals, of
 symbols, of repeated words, length; each cut into levels), hashed into
 ``DIMENSIONS`` slots.  Every feature is scaled by its class log-count ratio,
-counted over all training rows; then an L1-loss SVM is fitted by dual
-coordinate descent on a sample of the training rows of at most about ``SAMPLE``
-rows (a documented bound: the rows with the smallest id hash), and a logistic
-curve fitted on the margins of those rows turns a margin into a score.
+counted over all training rows; then all training rows are dealt, by a
+hash of the id, into deals of about ``DEAL`` rows with both classes; in each an
+L1-loss SVM is fitted by dual coordinate descent, the weights are averaged, and a
+logistic curve fitted on the margins of all dealt rows turns a margin into a score.
 
 Labels are read from training rows only.  Scores use nothing but the text.
 
@@ -31,7 +31,7 @@ from lapse.llm import words as W
 from lapse.llm.common import stage, texts
 
 DIMENSIONS = 1 << 18
-SAMPLE = 12_000
+DEAL = 12_000
 _FOLD = 3
 
 
@@ -111,13 +111,41 @@ def _counts(dimensions: int):
 def _rows(dimensions: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, slot, at in _batches(batch.column(0), dimensions):
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), W.list_column(slot, at)],
-                                                 names=["label", "slots"])
+            for a, b, slot, at in _batches(batch.column(1), dimensions):
+                yield pa.RecordBatch.from_arrays([batch.column(2).slice(a, b - a), batch.column(0).slice(a, b - a),
+                                                  W.list_column(slot, at)], names=["deal", "label", "slots"])
 
     return rows
 
 
+def _lists(column) -> list[np.ndarray]:
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    return [flat[at[i]:at[i + 1]] for i in range(len(at) - 1)]
+
+
+def _descent(scale: np.ndarray):
+    """The weights of one deal's rows, the bias in the last slot."""
+
+    def fit_deal(deal: pa.Table) -> pa.Table:
+        slots, y = _lists(deal.column("slots")), np.where(deal.column("label").to_numpy() == 1, 1.0, -1.0)
+        order = np.lexsort(([int(s[:8].sum()) if len(s) else 0 for s in slots], [len(s) for s in slots], y))
+        w = dual_descent([slots[i] for i in order], y[order], scale)
+        some = np.flatnonzero(w)
+        return pa.table({"slot": pa.array(some.astype(np.int32)), "w": pa.array(w[some])})
+
+    return fit_deal
+
+
+def _margins(w: np.ndarray, scale: np.ndarray):
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m = [(scale[s] @ w[s]) / (np.sqrt(scale[s] @ scale[s]) or 1.0) + w[-1] for s in _lists(batch.column("slots"))]
+            yield pa.RecordBatch.from_arrays([pa.array(m, pa.float64()), batch.column("label")], names=["margin", "label"])
+
+    return margins
+
+
 def dual_descent(slots: list[np.ndarray], y: np.ndarray, scale: np.ndarray, cost: float = 0.1,
                  rounds: int = 12, seed: int = 5) -> np.ndarray:
     """L1-loss linear SVM by dual coordinate descent over rows of unit norm;
@@ -148,12 +176,14 @@ def dual_descent(slots: list[np.ndarray], y: np.ndarray, scale: np.ndarray, cost
     return w
 
 
-def logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def logistic(margin: np.ndarray, y: np.ndarray, rows: np.ndarray | None = None) -> tuple[float, float]:
     """Slope and shift of the curve 1 / (1 + exp(-(a * margin + b))), by Newton
-    steps on smoothed targets; both classes weigh the same."""
-    n1, n0 = (y > 0).sum(), (y <= 0).sum()
+    steps on smoothed targets; both classes weigh the same.  ``rows`` says how
+    many rows have each margin (one, if it is not given)."""
+    rows = np.ones(len(y)) if rows is None else rows
+    n1, n0 = rows[y > 0].sum(), rows[y <= 0].sum()
     target = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    weight = np.where(y > 0, 0.5 / max(n1, 1), 0.5 / max(n0, 1))
+    weight = rows * np.where(y > 0, 0.5 / max(n1, 1), 0.5 / max(n0, 1))
     x = np.stack([margin, np.ones(len(margin))], 1)
     beta = np.array([1.0, 0.0])
     for _ in range(50):
@@ -167,7 +197,7 @@ def logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(beta[0]), 1e-6), float(beta[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE):
+def fit(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, deal: int = DEAL):
     """(weights by slot with the bias last, slope, shift) from the training rows."""
     lab = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
            .where("label in (0, 1)").where(~held_out()).dropDuplicates(["doc_id"]))
@@ -185,20 +215,22 @@ def fit(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, sample
         return np.zeros(dimensions + 1, np.float32), 0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
     n = n[:, :-1] + 1.0
     ratio = np.log(n[1] / n[1].sum()) - np.log(n[0] / n[0].sum())
-    # the rarer class first fills half of the sample, so that both are known
-    want = {c: min(1.0, sample / 2 / rows[c]) for c in (0, 1)}
-    spot = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
-    some = train.where((F.col("label") == 0) & (spot < want[0]) | (F.col("label") == 1) & (spot < want[1]))
-    some = some.select("text", "label").mapInArrow(_rows(dimensions), "label int, slots array<int>").toArrow()
-    lists = some.column("slots").combine_chunks()
-    at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-    slots = [flat[at[i]:at[i + 1]] for i in range(len(at) - 1)]
-    y = np.where(some.column("label").to_numpy() == 1, 1.0, -1.0)
-    order = np.lexsort(([int(s[:8].sum()) if len(s) else 0 for s in slots], [len(s) for s in slots], y))
-    slots, y = [slots[i] for i in order], y[order]
-    w = dual_descent(slots, y, ratio)
-    margin = np.array([(ratio[s] @ w[s]) / (np.sqrt(ratio[s] @ ratio[s]) or 1.0) + w[-1] for s in slots])
-    a, b = logistic(margin, y)
+    # deals of at most half of ``deal`` rows of either class; where one class has
+    # fewer deals, they are dealt again until every row has been in one
+    deals = [max(1, -(-int(k) * 2 // deal)) for k in rows]
+    most = max(deals)
+    spot = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.when(F.col("label") == 1, deals[1]).otherwise(deals[0]))
+    step = F.when(F.col("label") == 1, deals[1]).otherwise(deals[0])
+    dealt = train.select("label", "text", F.explode(F.sequence(spot.cast("int"), F.lit(most - 1), step)).alias("deal"))
+    slots = stage(dealt.mapInArrow(_rows(dimensions), "deal int, label int, slots array<int>"), "slots")
+    found = slots.groupBy("deal").applyInArrow(_descent(ratio), "slot int, w double")
+    found = found.groupBy("slot").agg(F.sum("w").alias("w")).toArrow()
+    w = np.zeros(dimensions + 1)
+    w[found.column("slot").to_numpy()] = found.column("w").to_numpy() / most
+    margins = slots.mapInArrow(_margins(w, ratio), "margin double, label int")
+    margins = margins.groupBy(F.round("margin", 3).alias("margin"), "label").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    y = np.where(margins.column("label").to_numpy() == 1, 1.0, -1.0)
+    a, b = logistic(margins.column("margin").to_numpy(), y, margins.column("n").to_numpy())
     return np.append(ratio * w[:-1], w[-1]).astype(np.float32), ratio.astype(np.float32), a, b
 
 
@@ -226,9 +258,9 @@ def _scores(model, dimensions: int):
     return score
 
 
-def accepted(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE) -> DataFrame:
+def accepted(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, deal: int = DEAL) -> DataFrame:
     """The rows of ``docs``, all columns, whose predicted label is 1."""
-    model = fit(docs, labels, dimensions, sample)
+    model = fit(docs, labels, dimensions, deal)
     text = docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,9 +270,9 @@ def accepted(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, s
     return docs.mapInArrow(keep, docs.schema)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, deal: int = DEAL) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
-    model = fit(docs, labels, dimensions, sample)
+    model = fit(docs, labels, dimensions, deal)
     out = texts(docs).mapInArrow(_scores(model, dimensions), "doc_id long, score double")
     return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
                       F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

@@ -112,3 +112,30 @@ def test_log_count_ratios_and_scores_equal_brute_force_on_the_whole_table(spark)
         margin = sum(float(weight[s]) for s in own) / norm + float(weight[-1])
         assert abs(r.score - 1 / (1 + math.exp(-(slope * margin + shift)))) < 1e-6
         assert r.held_out == held[r.doc_id] and r.predicted == (r.score >= 0.5)
+
+
+def test_every_training_row_is_in_a_deal(spark, monkeypatch):
+    from lapse.llm import quality as Q
+    rows = [(i, f"good word{i} fine text{i % 7}" if i % 5 else f"BAD!!! $$ word{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(300)], "doc_id long, quality int")
+    train = labels.where(~Q.held_out()).count()
+    seen, dealt = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    descent, deals = Q._descent, 0
+
+    def counted(scale):
+        run = descent(scale)
+
+        def one(deal):
+            seen.add(deal.num_rows)
+            dealt.add(1)
+            assert deal.num_rows < 60 and len(set(deal.column("label").to_pylist())) == 2
+            return run(deal)
+
+        return one
+
+    monkeypatch.setattr(Q, "_descent", counted)
+    out = Q.quality_scores(docs, labels, 1 << 12, 40).collect()
+    assert dealt.value > 5 and seen.value >= train
+    right = sum(r["predicted"] == int(r["doc_id"] % 5 > 0) for r in out if r["held_out"])
+    assert right >= 0.9 * sum(r["held_out"] for r in out)
