@@ -108,27 +108,19 @@ def _counts(dimensions: int):
     return count
 
 
-def _rows(dimensions: int):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, slot, at in _batches(batch.column(1), dimensions):
-                yield pa.RecordBatch.from_arrays([batch.column(2).slice(a, b - a), batch.column(0).slice(a, b - a),
-                                                  W.list_column(slot, at)], names=["deal", "label", "slots"])
-
-    return rows
-
-
-def _lists(column) -> list[np.ndarray]:
-    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-    return [flat[at[i]:at[i + 1]] for i in range(len(at) - 1)]
+def _slots(column: pa.Array, dimensions: int) -> Iterator[np.ndarray]:
+    """The feature slots of every text."""
+    for _, _, slot, at in _batches(column, dimensions):
+        for i in range(len(at) - 1):
+            yield slot[at[i]:at[i + 1]]
 
 
-def _descent(scale: np.ndarray):
+def _descent(scale: np.ndarray, dimensions: int):
     """The weights of one deal's rows, the bias in the last slot."""
 
     def fit_deal(deal: pa.Table) -> pa.Table:
-        slots, y = _lists(deal.column("slots")), np.where(deal.column("label").to_numpy() == 1, 1.0, -1.0)
+        slots = [s for batch in deal.to_batches() for s in _slots(batch.column("text"), dimensions)]
+        y = np.where(deal.column("label").to_numpy() == 1, 1.0, -1.0)
         order = np.lexsort(([int(s[:8].sum()) if len(s) else 0 for s in slots], [len(s) for s in slots], y))
         w = dual_descent([slots[i] for i in order], y[order], scale)
         some = np.flatnonzero(w)
@@ -137,10 +129,11 @@ def _descent(scale: np.ndarray):
     return fit_deal
 
 
-def _margins(w: np.ndarray, scale: np.ndarray):
+def _margins(w: np.ndarray, scale: np.ndarray, dimensions: int):
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            m = [(scale[s] @ w[s]) / (np.sqrt(scale[s] @ scale[s]) or 1.0) + w[-1] for s in _lists(batch.column("slots"))]
+            m = [(scale[s] @ w[s]) / (np.sqrt(scale[s] @ scale[s]) or 1.0) + w[-1]
+                 for s in _slots(batch.column("text"), dimensions)]
             yield pa.RecordBatch.from_arrays([pa.array(m, pa.float64()), batch.column("label")], names=["margin", "label"])
 
     return margins
@@ -202,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, deal:
     lab = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
            .where("label in (0, 1)").where(~held_out()).dropDuplicates(["doc_id"]))
     train = texts(docs).where(~held_out()).join(lab.hint("merge"), "doc_id").select("doc_id", "text", "label")
-    # one shuffle of the labelled texts; features are made twice from the stage
+    # one shuffle of the labelled texts; features are made three times from the stage
     train = stage(train, "labelled")
     counted = train.select("text", "label").mapInArrow(_counts(dimensions), "slot int, n0 long, n1 long")
     total = counted.groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
@@ -222,12 +215,11 @@ def fit(docs: DataFrame, labels: DataFrame, dimensions: int = DIMENSIONS, deal:
     spot = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.when(F.col("label") == 1, deals[1]).otherwise(deals[0]))
     step = F.when(F.col("label") == 1, deals[1]).otherwise(deals[0])
     dealt = train.select("label", "text", F.explode(F.sequence(spot.cast("int"), F.lit(most - 1), step)).alias("deal"))
-    slots = stage(dealt.mapInArrow(_rows(dimensions), "deal int, label int, slots array<int>"), "slots")
-    found = slots.groupBy("deal").applyInArrow(_descent(ratio), "slot int, w double")
+    found = dealt.groupBy("deal").applyInArrow(_descent(ratio, dimensions), "slot int, w double")
     found = found.groupBy("slot").agg(F.sum("w").alias("w")).toArrow()
     w = np.zeros(dimensions + 1)
     w[found.column("slot").to_numpy()] = found.column("w").to_numpy() / most
-    margins = slots.mapInArrow(_margins(w, ratio), "margin double, label int")
+    margins = dealt.mapInArrow(_margins(w, ratio, dimensions), "margin double, label int")
     margins = margins.groupBy(F.round("margin", 3).alias("margin"), "label").agg(F.count(F.lit(1)).alias("n")).toArrow()
     y = np.where(margins.column("label").to_numpy() == 1, 1.0, -1.0)
     a, b = logistic(margins.column("margin").to_numpy(), y, margins.column("n").to_numpy())

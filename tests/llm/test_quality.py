@@ -121,10 +121,10 @@ def test_every_training_row_is_in_a_deal(spark, monkeypatch):
     labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(300)], "doc_id long, quality int")
     train = labels.where(~Q.held_out()).count()
     seen, dealt = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
-    descent, deals = Q._descent, 0
+    descent = Q._descent
 
-    def counted(scale):
-        run = descent(scale)
+    def counted(*args):
+        run = descent(*args)
 
         def one(deal):
             seen.add(deal.num_rows)
