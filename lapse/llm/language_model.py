@@ -98,25 +98,39 @@ def contexts(group: np.ndarray, row: np.ndarray) -> np.ndarray:
 
 def train(p: dict[str, np.ndarray], around: np.ndarray, group: np.ndarray, state: dict, batch: int = 256) -> None:
     """One pass of mini-batch steps with per-weight step sizes, in place."""
+    embed, inner, shift, outer, bias = (p[k] for k in _SHAPES)
     order = np.random.default_rng(len(group)).permutation(len(group))
+    cell = np.arange(EMBED)
+    row = np.arange(batch) * CLASSES
+    room = np.empty((batch, CLASSES), np.float32)
+    spare = {k: (np.empty(s, np.float32), np.empty(s, np.float32)) for k, s in _SHAPES.items()}
     for a in range(0, len(order), batch):
         i = order[a:a + batch]
-        x = p["embed"][around[i]].reshape(len(i), -1)
-        h = np.tanh(x @ p["inner"] + p["shift"])
-        z = h @ p["outer"] + p["bias"]
+        n = around.take(i, axis=0).ravel().astype(np.intp)
+        x = embed.take(n, axis=0).reshape(len(i), -1)
+        h = x @ inner
+        h += shift
+        np.tanh(h, out=h)
+        z = np.matmul(h, outer, out=room[:len(i)])
+        z += bias
         z -= z.max(1, keepdims=True)
         np.exp(z, out=z)
         z /= z.sum(1, keepdims=True)
-        z[np.arange(len(i)), group[i]] -= 1.0
+        z.reshape(-1)[row[:len(i)] + group.take(i)] -= 1.0
         z /= len(i)
-        back = (z @ p["outer"].T) * (1 - h * h)
+        back = (z @ outer.T) * (1 - h * h)
         grad = {"outer": h.T @ z, "bias": z.sum(0), "inner": x.T @ back, "shift": back.sum(0)}
-        e = np.zeros_like(p["embed"])
-        np.add.at(e, around[i].ravel(), (back @ p["inner"].T).reshape(-1, EMBED))
-        grad["embed"] = e
+        e = np.zeros(embed.size, np.float32)
+        np.add.at(e, ((n * EMBED)[:, None] + cell).ravel(), (back @ inner.T).ravel())  # one index: numpy's fast way
+        grad["embed"] = e.reshape(embed.shape)
         for k, g in grad.items():
-            state[k] += g * g
-            p[k] -= 0.1 * g / (np.sqrt(state[k]) + 1e-4)
+            size, move = spare[k]
+            state[k] += np.multiply(g, g, out=size)
+            np.sqrt(state[k], out=size)
+            size += 1e-4
+            np.multiply(g, 0.1, out=move)
+            move /= size
+            p[k] -= move
 
 
 def _trainer(p: dict[str, np.ndarray], vocabulary: Vocabulary):
@@ -144,14 +158,17 @@ def token_log_probs(p: dict[str, np.ndarray], around: np.ndarray, group: np.ndar
     """log P(class | both sides) of every token."""
     table = np.stack([p["embed"] @ p["inner"][k * EMBED:(k + 1) * EMBED] for k in range(2 * WINDOW)])
     out = np.empty(len(group), np.float32)
+    room = np.empty((min(batch, len(group)), CLASSES), np.float32)
+    row = np.arange(len(room)) * CLASSES
     for a in range(0, len(group), batch):
-        n = around[a:a + batch]
-        h = table[0][n[:, 0]]
+        n = around[a:a + batch].T.astype(np.intp)
+        h = table[0].take(n[0], axis=0)
         for k in range(1, 2 * WINDOW):
-            h += table[k][n[:, k]]
-        z = np.tanh(h + p["shift"]) @ p["outer"]
+            h += table[k].take(n[k], axis=0)
+        h += p["shift"]
+        z = np.matmul(np.tanh(h, out=h), p["outer"], out=room[:len(h)])
         z += p["bias"]
-        own = z[np.arange(len(n)), group[a:a + batch]]
+        own = z.reshape(-1).take(row[:len(h)] + group[a:a + batch])
         top = z.max(1)
         z -= top[:, None]
         np.exp(z, out=z)
