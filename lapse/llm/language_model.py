@@ -102,7 +102,7 @@ def train(p: dict[str, np.ndarray], around: np.ndarray, group: np.ndarray, state
     order = np.random.default_rng(len(group)).permutation(len(group))
     cell = np.arange(EMBED)
     row = np.arange(batch) * CLASSES
-    room = np.empty((batch, CLASSES), np.float32)
+    room, e = np.empty((batch, CLASSES), np.float32), np.empty(embed.size, np.float32)
     spare = {k: (np.empty(s, np.float32), np.empty(s, np.float32)) for k, s in _SHAPES.items()}
     for a in range(0, len(order), batch):
         i = order[a:a + batch]
@@ -115,12 +115,18 @@ def train(p: dict[str, np.ndarray], around: np.ndarray, group: np.ndarray, state
         z += bias
         z -= z.max(1, keepdims=True)
         np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
-        z.reshape(-1)[row[:len(i)] + group.take(i)] -= 1.0
-        z /= len(i)
-        back = (z @ outer.T) * (1 - h * h)
+        if len(i) & (len(i) - 1):
+            z /= z.sum(1, keepdims=True)
+            z.reshape(-1)[row[:len(i)] + group.take(i)] -= 1.0
+            z /= len(i)
+        else:  # a power of two scales without rounding: softmax and mean in one pass
+            z /= z.sum(1, keepdims=True) * np.float32(len(i))
+            z.reshape(-1)[row[:len(i)] + group.take(i)] -= np.float32(1 / len(i))
+        back = z @ outer.T
+        slope = h * h
+        back *= np.subtract(1, slope, out=slope)
         grad = {"outer": h.T @ z, "bias": z.sum(0), "inner": x.T @ back, "shift": back.sum(0)}
-        e = np.zeros(embed.size, np.float32)
+        e[:] = 0
         np.add.at(e, ((n * EMBED)[:, None] + cell).ravel(), (back @ inner.T).ravel())  # one index: numpy's fast way
         grad["embed"] = e.reshape(embed.shape)
         for k, g in grad.items():
