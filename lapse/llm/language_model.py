@@ -43,13 +43,15 @@ HIDDEN = 32
 #: Rounds, each on a slice of its own; together they cover every text.
 SHARE = 4
 ROUNDS = SHARE
+#: Sums of exponentials that are taken as they are.
+_LEAST, _MOST = 1e-25, 1e30
 _EDGE = CLASSES - 1  # the class that stands beyond either end of a text
 _SHAPES = {"embed": (CLASSES, EMBED), "inner": (2 * WINDOW * EMBED, HIDDEN), "shift": (HIDDEN,),
            "outer": (HIDDEN, CLASSES), "bias": (CLASSES,)}
 
 
 def _buckets(w: W.Words) -> np.ndarray:
-    return (w.hash % np.uint64(BUCKETS)).astype(np.int64)
+    return (w.hash & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +102,7 @@ def train(p: dict[str, np.ndarray], around: np.ndarray, group: np.ndarray, state
     """One pass of mini-batch steps with per-weight step sizes, in place."""
     embed, inner, shift, outer, bias = (p[k] for k in _SHAPES)
     order = np.random.default_rng(len(group)).permutation(len(group))
-    cell = np.arange(EMBED)
+    cell = np.arange(embed.size).reshape(embed.shape)
     row = np.arange(batch) * CLASSES
     room, e = np.empty((batch, CLASSES), np.float32), np.empty(embed.size, np.float32)
     spare = {k: (np.empty(s, np.float32), np.empty(s, np.float32)) for k, s in _SHAPES.items()}
@@ -127,7 +129,7 @@ def train(p: dict[str, np.ndarray], around: np.ndarray, group: np.ndarray, state
         back *= np.subtract(1, slope, out=slope)
         grad = {"outer": h.T @ z, "bias": z.sum(0), "inner": x.T @ back, "shift": back.sum(0)}
         e[:] = 0
-        np.add.at(e, ((n * EMBED)[:, None] + cell).ravel(), (back @ inner.T).ravel())  # one index: numpy's fast way
+        np.add.at(e, cell.take(n, axis=0).ravel(), (back @ inner.T).ravel())  # one index: numpy's fast way
         grad["embed"] = e.reshape(embed.shape)
         for k, g in grad.items():
             size, move = spare[k]
@@ -160,25 +162,33 @@ def _trainer(p: dict[str, np.ndarray], vocabulary: Vocabulary):
     return run
 
 
-def token_log_probs(p: dict[str, np.ndarray], around: np.ndarray, group: np.ndarray, batch: int = 4096) -> np.ndarray:
+def token_log_probs(p: dict[str, np.ndarray], around: np.ndarray, group: np.ndarray, batch: int = 1024) -> np.ndarray:
     """log P(class | both sides) of every token."""
     table = np.stack([p["embed"] @ p["inner"][k * EMBED:(k + 1) * EMBED] for k in range(2 * WINDOW)])
+    table[0] += p["shift"]
+    outer = np.concatenate([p["outer"], p["bias"][None]])  # the last unit is always 1
     out = np.empty(len(group), np.float32)
-    room = np.empty((min(batch, len(group)), CLASSES), np.float32)
+    hidden = np.ones((min(batch, len(group)), HIDDEN + 1), np.float32)
+    room = np.empty((len(hidden), CLASSES), np.float32)
     row = np.arange(len(room)) * CLASSES
+    each = np.ones(CLASSES, np.float32)
     for a in range(0, len(group), batch):
         n = around[a:a + batch].T.astype(np.intp)
         h = table[0].take(n[0], axis=0)
         for k in range(1, 2 * WINDOW):
             h += table[k].take(n[k], axis=0)
-        h += p["shift"]
-        z = np.matmul(np.tanh(h, out=h), p["outer"], out=room[:len(h)])
-        z += p["bias"]
+        np.tanh(h, out=hidden[:len(h), :HIDDEN])
+        z = np.matmul(hidden[:len(h)], outer, out=room[:len(h)])
         own = z.reshape(-1).take(row[:len(h)] + group[a:a + batch])
-        top = z.max(1)
-        z -= top[:, None]
-        np.exp(z, out=z)
-        out[a:a + batch] = own - top - np.log(z.sum(1))
+        with np.errstate(over="ignore"):
+            total = np.exp(z, out=z) @ each
+        if total.min() > _LEAST and total.max() < _MOST:
+            out[a:a + batch] = own - np.log(total)
+        else:  # logits beyond the range of exp: shifted by the greatest of their row
+            np.matmul(hidden[:len(h)], outer, out=z)
+            top = z.max(1)
+            z -= top[:, None]
+            out[a:a + batch] = own - top - np.log(np.exp(z, out=z) @ each)
     return out
 
 

@@ -77,7 +77,7 @@ class Words:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE):
         self.data, self.offsets = data, offsets
         n = len(data)
-        inside = ~between[data]
+        inside = ~between.take(data)
         first = np.zeros(n + 1, bool)
         first[offsets] = True
         start, end = inside.copy(), inside.copy()
@@ -90,7 +90,8 @@ class Words:
         power, inverse = _powers(n + 1)
         with np.errstate(over="ignore"):
             total = np.zeros(n + 1, np.uint64)
-            np.cumsum(_CODES[data] * power[:n], out=total[1:])
+            np.multiply(_CODES.take(data), power[:n], out=total[1:])
+            np.cumsum(total[1:], out=total[1:])
             self.hash = mix((total[self.end] - total[self.start]) * inverse[self.start])
 
     def counts(self) -> np.ndarray:

@@ -105,3 +105,17 @@ def test_training_takes_the_plain_steps_in_less_time():
     plain, own = zip(*[(run(plain_train), run(LM.train)) for _ in range(5)])
     assert all(np.allclose(plain[0][0][k], own[0][0][k], rtol=1e-4, atol=1e-5) for k in LM._SHAPES)
     assert min(t for _, t in own) < 0.85 * min(t for _, t in plain)
+
+
+def test_logits_beyond_the_range_of_exp():
+    rng = np.random.default_rng(3)
+    p = {k: rng.normal(size=s).astype(np.float32) for k, s in LM._SHAPES.items()}
+    around, group = rng.integers(0, LM.CLASSES, (50, 2 * LM.WINDOW)).astype(np.int16), rng.integers(0, LM.CLASSES, 50)
+    h = np.tanh(p["embed"][around].reshape(50, -1).astype(float) @ p["inner"] + p["shift"])
+    for bias in (0.0, 200.0, -200.0):
+        p["bias"] += np.float32(bias)
+        z = h @ p["outer"] + p["bias"]
+        top = z.max(1)
+        want = z[np.arange(50), group] - top - np.log(np.exp(z - top[:, None]).sum(1))
+        assert np.allclose(LM.token_log_probs(p, around, group), want, atol=1e-3)
+        p["bias"] -= np.float32(bias)
