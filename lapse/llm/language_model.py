@@ -43,8 +43,8 @@ HIDDEN = 32
 #: Rounds, each on a slice of its own; together they cover every text.
 SHARE = 4
 ROUNDS = SHARE
-#: Sums of exponentials that are taken as they are.
-_LEAST, _MOST = 1e-25, 1e30
+#: Tokens whose softmax is taken together in scoring.
+_TOGETHER = 256
 _EDGE = CLASSES - 1  # the class that stands beyond either end of a text
 _SHAPES = {"embed": (CLASSES, EMBED), "inner": (2 * WINDOW * EMBED, HIDDEN), "shift": (HIDDEN,),
            "outer": (HIDDEN, CLASSES), "bias": (CLASSES,)}
@@ -162,33 +162,27 @@ def _trainer(p: dict[str, np.ndarray], vocabulary: Vocabulary):
     return run
 
 
-def token_log_probs(p: dict[str, np.ndarray], around: np.ndarray, group: np.ndarray, batch: int = 1024) -> np.ndarray:
+def token_log_probs(p: dict[str, np.ndarray], around: np.ndarray, group: np.ndarray, batch: int = 4096) -> np.ndarray:
     """log P(class | both sides) of every token."""
     table = np.stack([p["embed"] @ p["inner"][k * EMBED:(k + 1) * EMBED] for k in range(2 * WINDOW)])
-    table[0] += p["shift"]
-    outer = np.concatenate([p["outer"], p["bias"][None]])  # the last unit is always 1
     out = np.empty(len(group), np.float32)
-    hidden = np.ones((min(batch, len(group)), HIDDEN + 1), np.float32)
-    room = np.empty((len(hidden), CLASSES), np.float32)
-    row = np.arange(len(room)) * CLASSES
-    each = np.ones(CLASSES, np.float32)
+    room = np.empty((min(batch, len(group)), CLASSES), np.float32)
+    row = np.arange(_TOGETHER) * CLASSES
     for a in range(0, len(group), batch):
         n = around[a:a + batch].T.astype(np.intp)
         h = table[0].take(n[0], axis=0)
         for k in range(1, 2 * WINDOW):
             h += table[k].take(n[k], axis=0)
-        np.tanh(h, out=hidden[:len(h), :HIDDEN])
-        z = np.matmul(hidden[:len(h)], outer, out=room[:len(h)])
-        own = z.reshape(-1).take(row[:len(h)] + group[a:a + batch])
-        with np.errstate(over="ignore"):
-            total = np.exp(z, out=z) @ each
-        if total.min() > _LEAST and total.max() < _MOST:
-            out[a:a + batch] = own - np.log(total)
-        else:  # logits beyond the range of exp: shifted by the greatest of their row
-            np.matmul(hidden[:len(h)], outer, out=z)
+        h += p["shift"]
+        logits = np.matmul(np.tanh(h, out=h), p["outer"], out=room[:len(h)])
+        for b in range(0, len(h), _TOGETHER):  # so few that they stay in the processor's cache
+            z, to = logits[b:b + _TOGETHER], out[a + b:a + min(b + _TOGETHER, len(h))]
+            z += p["bias"]
+            own = z.reshape(-1).take(row[:len(z)] + group[a + b:a + b + len(z)])
             top = z.max(1)
             z -= top[:, None]
-            out[a:a + batch] = own - top - np.log(np.exp(z, out=z) @ each)
+            np.exp(z, out=z)
+            to[:] = own - top - np.log(z.sum(1))
     return out
 
 
