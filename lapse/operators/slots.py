@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from lapse.conf import Settings
-from lapse.operators.steps import ROW_ORDER, secs_by_type, with_slot
+from lapse.operators.steps import secs_by_type, with_slot
 from lapse.schema import (ANY_COLS, COUNT_COLS, MEAN_STD_COLS, MISSING_COORD, SECS_COLS, SUM_COLS,
                           TOP_TYPES)
 
@@ -71,7 +71,8 @@ def slot_features(parsed: DataFrame, s: Settings) -> DataFrame:
     """
     w = s.windows
     x = with_slot(parsed, s)
-    row_w = Window.partitionBy("user_id", "slot").orderBy(*ROW_ORDER)
+    # no statistic tells contexts apart, so they need not travel to break ties
+    row_w = Window.partitionBy("user_id", "slot").orderBy("timestampp", "secs_played")
     y = x.withColumns({"_d": F.col("timestampp") - F.lag("timestampp", 1).over(row_w), **_any_values(row_w)})
     aggs = [F.count(F.lit(1)).alias("_n"), F.min("timestampp").alias("_first_ts"),
             F.max("timestampp").alias("_last_ts"), F.count("_d").alias("_dn"),

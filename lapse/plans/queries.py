@@ -94,13 +94,17 @@ class Ctx:
         return parse_context(self.raw())
 
     def slots(self, fanout: str = "reference") -> DataFrame:
-        return slot_features(self.staged_parsed(), self.s.with_(fanout=fanout))
+        return slot_features(self._parsed_once(), self.s.with_(fanout=fanout))
 
     def staged_parsed(self) -> DataFrame:
         return self._stage("parsed", self.parsed)
 
+    def _parsed_once(self) -> DataFrame:
+        """The parsed pull for a single reader, which need not wait for a stage."""
+        return self._staged["parsed"] if "parsed" in self._staged else self.parsed()
+
     def staged_slots(self) -> DataFrame:
-        return self._stage("slots", lambda: slot_features(self.staged_parsed(), self.s))
+        return self._stage("slots", lambda: slot_features(self._parsed_once(), self.s))
 
     def labels(self) -> DataFrame:
         return L.label_churn(self.users(staged=True), self.staged_slots(), self.s)

@@ -28,6 +28,12 @@ def _k() -> F.Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
+def _from_k(build) -> F.Column:
+    """``build`` of the props' number, which is read once however often it is
+    used: a filter that is pushed to the scan repeats an expression's parts."""
+    return F.get(F.transform(F.array(_k()), build), 0)
+
+
 def _time() -> F.Column:
     return F.date_format("ts", TIME_FORMAT)
 
@@ -58,12 +64,12 @@ def plays_from_events(events: DataFrame) -> DataFrame:
 
 def contexts_from_events(events: DataFrame) -> DataFrame:
     """events -> decrypted context log (user_id, time, play_context_decrypted, date, ts)."""
-    k = _k()
-    name = F.element_at(F.array(*[F.lit(n) for n in CONTEXT_NAMES]), (F.pmod(k, F.lit(13)) + 1).cast("int"))
+    names = F.array(*[F.lit(n) for n in CONTEXT_NAMES])
     return events.select(
         F.col("user_id").cast("string").alias("user_id"),
         _time().alias("time"),
-        F.concat(F.lit("app:"), name, F.lit(":"), k.cast("string")).alias("play_context_decrypted"),
+        _from_k(lambda k: F.concat(F.lit("app:"), F.element_at(names, (F.pmod(k, F.lit(13)) + 1).cast("int")), F.lit(":"),
+                                   k.cast("string"))).alias("play_context_decrypted"),
         F.to_date("ts").alias("date"),
         F.col("ts"),
     )
